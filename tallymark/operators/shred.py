@@ -132,7 +132,7 @@ def dissect(obj: dict, nodes: tuple[Node, ...], cols: dict[str, _Column], prefix
             if not n.children:
                 cols[p].add(scalar_text(x), r, level + 2 + (x is not None))
             elif isinstance(x, dict):
-                dissect(x, n.children, cols, p + ".", r, depth + 1, level + 3)
+                dissect(x, n.children, cols, p + "/", r, depth + 1, level + 3)
             else:
                 _absent(n.children, p + "/", cols, r, level + 2)
 
