@@ -22,6 +22,8 @@ from tallymark.session import small_side
 COMPRESSION = 200
 #: Digests that one task merges at most; more go through another level of the merge tree.
 FAN_IN = 256
+#: Groups whose buffers a task keeps before it hands on what it has.
+GROUPS_HELD = 5_000
 DIGEST_TYPE = "struct<means: array<double>, weights: array<double>, lows: array<double>, highs: array<double>>"
 
 
@@ -84,7 +86,7 @@ def combine(parts: list[Digest], compression: float) -> Digest:
 
 
 def digests(df: DataFrame, groups: list[str], value: Column, compression: float = COMPRESSION) -> DataFrame:
-    """One digest per partition and group: (groups as text, digest). Nulls and NaNs are left out.
+    """One digest (or, with very many groups, a few) per partition and group: (groups as text, digest). Nulls and NaNs are left out.
 
     A task keeps a bounded buffer per group and clusters it whenever it is full, so neither a
     large group nor a long partition needs memory that grows with its rows.
@@ -115,6 +117,9 @@ def digests(df: DataFrame, groups: list[str], value: Column, compression: float
                 parts.append(build(v[at], compression))
                 if sum(len(p[0]) for p in parts) > 20 * compression:
                     held[key] = [combine(parts, compression)]
+            if len(held) > GROUPS_HELD:
+                yield _digest_batch(list(held), [combine(parts, compression) for parts in held.values()], own)
+                held.clear()
         if held:
             yield _digest_batch(list(held), [combine(parts, compression) for parts in held.values()], own)
 

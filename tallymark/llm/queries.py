@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallymark.functions.text import rank_name, source_name, source_trust, usable, written_day, written_millis
 from tallymark.llm.digest import certified, digests, estimates, exact_medians, merge
+from tallymark.llm.lookalike import lookalike_classes, lookalike_pairs, unified
 from tallymark.llm.survivor import Bundle, Dependency, survivors
 from tallymark.session import materialize, table
 
@@ -113,7 +114,21 @@ def p2_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return certified(rows, GROUPS, F.col("figure"), est)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_records, p1_consistent, p2_found, p2_percentiles, p2_by_month)}
+# ---------------------------------------------------------------- problem 10
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookalike_pairs(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+def p10_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document with its class and the document whose text is the class's form."""
+    return lookalike_classes(table(spark, sf_dir, "documents"), "doc_id", "text")[0].drop("_h")
+
+
+def p10_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unified(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_records, p1_consistent, p2_found, p2_percentiles, p2_by_month, p10_found, p10_classes, p10_unified)}
 
 _SOURCE = "CASE regexp_replace(lower({c}), '[^a-z]', '', 'g') WHEN 'googlescholar' THEN 'google_scholar' WHEN '' THEN NULL ELSE regexp_replace(lower({c}), '[^a-z]', '', 'g') END"
 _DAY = "CASE WHEN substr(trim({c}), 5, 1) = '-' THEN substr(trim({c}), 1, 10) ELSE substr(trim({c}), 1, 4) || '-' || substr(trim({c}), 5, 2) || '-' || substr(trim({c}), 7, 2) END"
