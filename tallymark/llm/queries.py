@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from tallymark.functions.text import rank_name, source_name, source_trust, usable, written_day, written_millis
 from tallymark.llm.digest import certified, digests, estimates, exact_medians, merge
 from tallymark.llm.lookalike import lookalike_classes, lookalike_pairs, unified
+from tallymark.llm.mixing import Target, mix, shares
+from tallymark.llm.packing import pack
 from tallymark.llm.survivor import Bundle, Dependency, survivors
+from tallymark.llm.tokens import VOCABULARY, with_token_counts
 from tallymark.session import materialize, table
 
 # ---------------------------------------------------------------- problem 1
@@ -114,6 +117,44 @@ def p2_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return certified(rows, GROUPS, F.col("figure"), est)
 
 
+# ---------------------------------------------------------------- problem 8
+def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contents and fill of the containers of each spec, over all documents."""
+    specs = {int(r["spec_id"]): int(r["capacity_tokens"]) for r in table(spark, sf_dir, "container_spec").where("spec_id is not null and capacity_tokens > 0").collect()}  # three rows
+    sizes = with_token_counts(table(spark, sf_dir, "documents"), "text", VOCABULARY, ["doc_id"])
+    return pack(sizes, "doc_id", "n_tokens", specs)
+
+
+def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Containers, tokens and mean fill by spec, beside the fewest containers that could hold the tokens."""
+    each = p8_containers(spark, sf_dir).groupBy("spec_id", "capacity_tokens", "container_id").agg(F.sum("n_tokens").alias("used"), F.count(F.lit(1)).alias("items"))
+    total = each.groupBy("spec_id", "capacity_tokens").agg(F.count(F.lit(1)).alias("n_containers"), F.sum("items").alias("n_items"), F.sum("used").alias("n_tokens"))
+    least = F.ceil(F.col("n_tokens") / F.col("capacity_tokens"))
+    return total.withColumn("least_containers", least).withColumn("fill", F.col("n_tokens") / (F.col("n_containers") * F.col("capacity_tokens")))
+
+
+# ---------------------------------------------------------------- problem 9
+def _source_key(c: Column) -> Column:
+    """Spelling of a document source: lower case, no outer spaces, '_' for '-' and spaces."""
+    return F.regexp_replace(F.lower(F.trim(c)), "[-\\s]+", "_")
+
+
+def _targets(spark: SparkSession, sf_dir: str) -> list[Target]:
+    rows = table(spark, sf_dir, "mix_target").where("source is not null").withColumn("source", _source_key(F.col("source"))).collect()  # eight rows
+    return [Target(r["source"], float(r["target_share"] or 0), int(r["max_repeats"] or 0)) for r in rows]
+
+
+def p9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of the mixture with the times each is used."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", _source_key(F.col("source")).alias("source"), F.md5("text").alias("text_key"), "text")
+    sizes = with_token_counts(docs, "text", VOCABULARY, ["doc_id", "source", "text_key"])
+    return mix(sizes, "doc_id", "text_key", "source", "n_tokens", _targets(spark, sf_dir))
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shares(p9_mixture(spark, sf_dir), "source", _targets(spark, sf_dir))
+
+
 # ---------------------------------------------------------------- problem 10
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalike_pairs(table(spark, sf_dir, "documents"), "doc_id", "text")
@@ -128,7 +169,7 @@ def p10_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unified(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_records, p1_consistent, p2_found, p2_percentiles, p2_by_month, p10_found, p10_classes, p10_unified)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_records, p1_consistent, p2_found, p2_percentiles, p2_by_month, p8_containers, p8_fill, p9_mixture, p9_shares, p10_found, p10_classes, p10_unified)}
 
 _SOURCE = "CASE regexp_replace(lower({c}), '[^a-z]', '', 'g') WHEN 'googlescholar' THEN 'google_scholar' WHEN '' THEN NULL ELSE regexp_replace(lower({c}), '[^a-z]', '', 'g') END"
 _DAY = "CASE WHEN substr(trim({c}), 5, 1) = '-' THEN substr(trim({c}), 1, 10) ELSE substr(trim({c}), 1, 4) || '-' || substr(trim({c}), 5, 2) || '-' || substr(trim({c}), 7, 2) END"
