@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallymark.functions.text import rank_name, source_name, source_trust, usable, written_day, written_millis
 from tallymark.llm.digest import certified, digests, estimates, exact_medians, merge
+from tallymark.llm.linkage import institution_parts, link, name_forms
 from tallymark.llm.lookalike import lookalike_classes, lookalike_pairs, unified
 from tallymark.llm.mixing import Target, mix, shares
 from tallymark.llm.packing import pack
@@ -117,6 +118,62 @@ def p2_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return certified(rows, GROUPS, F.col("figure"), est)
 
 
+# ---------------------------------------------------------------- problem 7
+def _people(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per person with every name, university, doctorate and figure on file."""
+    person = table(spark, sf_dir, "person").select("person_id", "first_name", "middle_name", "last_name", "display_name", "phd_institution")
+    names = F.array("display_name", F.concat_ws(" ", "first_name", "middle_name", "last_name"))
+    forms = person.select("person_id", F.explode(names).alias("name")).unionByName(table(spark, sf_dir, "person_alias").select("person_id", F.col("alias").alias("name")))
+    forms = forms.select("person_id", F.explode(name_forms(F.col("name"))).alias("form")).groupBy("person_id").agg(F.collect_set("form").alias("forms"))
+    schools = table(spark, sf_dir, "department").select("department_id", F.explode(institution_parts(F.col("university"))).alias("school"))
+    insts = table(spark, sf_dir, "affiliation").select("person_id", "department_id").distinct().join(F.broadcast(schools), "department_id").groupBy("person_id").agg(F.collect_set("school").alias("insts"))
+    figures = table(spark, sf_dir, "metric_snapshot").select(
+        "person_id", source_name(F.col("source")).alias("source_name"), usable(F.col("total_citations")).alias("total"), usable(F.col("h_index")).alias("h")
+    )
+    # The middle reading of a source does not follow single readings far out of range.
+    figures = figures.groupBy("person_id", "source_name").agg(F.percentile_approx("total", 0.7, 200).alias("total"), F.percentile_approx("h", 0.7, 200).alias("h"))
+    figures = figures.groupBy("person_id").agg(F.collect_set("total").alias("counts"), F.collect_set("h").alias("indexes"))
+    none = lambda c, kind: F.coalesce(F.col(c), F.array().cast(kind)).alias(c)
+    return (
+        person.select("person_id", F.coalesce(institution_parts(F.col("phd_institution")), F.array().cast("array<string>")).alias("doctorate"))
+        .join(forms, "person_id")
+        .join(insts, "person_id", "left")
+        .join(figures, "person_id", "left")
+        .select("person_id", "forms", none("insts", "array<string>"), "doctorate", none("counts", "array<bigint>"), none("indexes", "array<bigint>"))
+    )
+
+
+def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (
+        table(spark, sf_dir, "identity_candidates")
+        .where("status = 'pending'")
+        .select(
+            "candidate_id",
+            name_forms(F.col("candidate_name")).alias("forms"),
+            F.coalesce(institution_parts(F.col("last_known_institution")), F.array().cast("array<string>")).alias("insts"),
+            usable(F.col("cited_by_count")).alias("count"),
+            usable(F.col("h_index")).alias("h_index"),
+            F.col("name_sim").alias("reported"),
+        )
+        .where("size(forms) > 0")
+    )
+
+
+def _linked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    people = materialize(_people(spark, sf_dir), "linkage-people")
+    found = materialize(_candidates(spark, sf_dir), "linkage-found")
+    return link(people, found)
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _linked(spark, sf_dir).select("person_id", "candidate_id")
+
+
+def p7_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matches with their levels of agreement and confidence."""
+    return _linked(spark, sf_dir).withColumn("confidence", F.round("confidence", 4))
+
+
 # ---------------------------------------------------------------- problem 8
 def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contents and fill of the containers of each spec, over all documents."""
@@ -169,7 +226,7 @@ def p10_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unified(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_records, p1_consistent, p2_found, p2_percentiles, p2_by_month, p8_containers, p8_fill, p9_mixture, p9_shares, p10_found, p10_classes, p10_unified)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_records, p1_consistent, p2_found, p2_percentiles, p2_by_month, p7_found, p7_confidence, p8_containers, p8_fill, p9_mixture, p9_shares, p10_found, p10_classes, p10_unified)}
 
 _SOURCE = "CASE regexp_replace(lower({c}), '[^a-z]', '', 'g') WHEN 'googlescholar' THEN 'google_scholar' WHEN '' THEN NULL ELSE regexp_replace(lower({c}), '[^a-z]', '', 'g') END"
 _DAY = "CASE WHEN substr(trim({c}), 5, 1) = '-' THEN substr(trim({c}), 1, 10) ELSE substr(trim({c}), 1, 4) || '-' || substr(trim({c}), 5, 2) || '-' || substr(trim({c}), 7, 2) END"
