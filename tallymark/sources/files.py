@@ -87,7 +87,7 @@ def read_run_records(spark: SparkSession, root: str) -> DataFrame:
 
 def read_saved_pages(spark: SparkSession, root: str) -> DataFrame:
     """Saved texts <dept>__*.txt: department_id from the name, the URL on line 1, the text after it."""
-    raw = spark.read.option("wholetext", True).text(f"{root}/*__*.txt")
+    raw = spark.read.text(f"{root}/*__*.txt", wholetext=True)
     parts = F.split("value", "\n", 2)
     return raw.select(F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)__[^/]*\.txt$", 1).alias("department_id"), F.trim(parts[0]).alias("url"), F.get(parts, 1).alias("text"))
 
