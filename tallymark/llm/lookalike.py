@@ -13,8 +13,10 @@ from __future__ import annotations
 
 import unicodedata
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallymark.session import materialize, small_side
 
@@ -66,6 +68,12 @@ def mapped(text: Column) -> Column:
     return F.translate(out, "".join(RULES), "".join(RULES.values()))
 
 
+@F.pandas_udf(T.StringType())
+def composed(text: pd.Series) -> pd.Series:
+    """Canonical composition, for the collation compares marks in the order in which they stand."""
+    return text.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
+
+
 def coarse(mapped_text: Column) -> Column:
     """Hash of the plain ASCII characters that carry no combining mark: equal for canonically equivalent texts."""
     return F.xxhash64(F.regexp_replace(mapped_text, "(?s).\\p{M}+|[^\\x00-\\x7F]", ""))
@@ -87,7 +95,7 @@ def lookalike_classes(df: DataFrame, doc_id: str, text: str) -> tuple[DataFrame,
     twins = strings.groupBy("_c").agg(F.count(F.lit(1)).alias("_k")).where("_k > 1").select("_c")
     chosen = materialize(strings.join(twins, "_c", "left_semi"), "lookalike-chosen")
     # Only strings that share their coarse hash with another string are read again, each once.
-    texts = docs.join(small_side(chosen), docs["_id"] == chosen["_rep"]).select("_c", "_h", "_rep", "_t", mapped(F.col("_t")).alias("_m"))
+    texts = docs.join(small_side(chosen), docs["_id"] == chosen["_rep"]).select("_c", "_h", "_rep", "_t", composed(mapped(F.col("_t"))).alias("_m"))
     texts = materialize(texts.withColumn("_plain", (F.col("_t") == F.col("_m")).cast("int")), "lookalike-texts")
     keyed = texts.withColumn("_u", F.expr("_m COLLATE UNICODE"))
     classes = keyed.groupBy("_c", "_u").agg(
