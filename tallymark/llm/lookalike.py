@@ -57,10 +57,17 @@ _LONG = {
 }
 
 
+def _ranges(chars: list[str]) -> str:
+    """A short character class of ranges that covers the characters, and a few between them."""
+    codes = sorted(map(ord, chars))
+    cuts = [0, *(i for i in range(1, len(codes)) if codes[i] - codes[i - 1] > 64), len(codes)]
+    return "[" + "".join(f"\\x{{{codes[a]:X}}}-\\x{{{codes[b - 1]:X}}}" for a, b in zip(cuts, cuts[1:])) + "]"
+
+
 def mapped(text: Column) -> Column:
     """Text with look-alikes mapped and invisible characters gone; accents stay as they are written."""
     out = F.regexp_replace(text, INVISIBLE, "")
-    rare = "[" + "".join([*LIGATURES, *_LONG]) + "]"
+    rare = _ranges([*LIGATURES, *_LONG])
     several = out
     for a, b in {**LIGATURES, **_LONG}.items():
         several = F.replace(several, F.lit(a), F.lit(b))
