@@ -109,6 +109,21 @@ WHERE a.person_id IS NULL OR b.person_id IS NULL OR {differ}"""
 
 
 ORACLE = {
+    "p3_found": """
+WITH raw AS (SELECT delivery_row_id, CAST(raw_json AS JSON) AS j FROM snapshot_delivery WHERE json_valid(raw_json)),
+s1 AS (SELECT delivery_row_id, CASE WHEN json_type(j) = 'VARCHAR' AND json_valid(j ->> '$') THEN CAST(j ->> '$' AS JSON) ELSE j END AS j FROM raw),
+p AS (SELECT delivery_row_id, CASE WHEN json_type(j, '$.payload') = 'OBJECT' THEN json_extract(j, '$.payload') WHEN json_type(j, '$.payload') = 'VARCHAR' AND json_valid(j ->> '$.payload') THEN CAST(j ->> '$.payload' AS JSON) ELSE j END AS j FROM s1),
+fields AS (
+  SELECT delivery_row_id, kind, v FROM p, LATERAL (VALUES ('interest', json_extract(j, '$.interests')), ('year', json_extract(j, '$.cites_per_year')), ('year', json_extract(j, '$.counts_by_year')),
+    ('institution', json_extract(j, '$.last_known_institutions')), ('record', json_extract(j, '$.records'))) f(kind, v) WHERE v IS NOT NULL AND json_type(v) <> 'NULL'),
+entries AS (
+  SELECT delivery_row_id, kind, CAST(i AS BIGINT) - 1 AS pos, l[i] AS e FROM (SELECT delivery_row_id, kind, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT delivery_row_id, kind, json_extract(v, '$[*]') AS l FROM fields WHERE json_type(v) = 'ARRAY'))
+  UNION ALL SELECT delivery_row_id, kind, 0, v FROM fields WHERE json_type(v) <> 'ARRAY' AND NOT (kind = 'year' AND json_type(v) = 'OBJECT')),
+good AS (SELECT * FROM entries WHERE json_type(e) <> 'NULL'),
+lines AS (SELECT delivery_row_id, pos, json_extract(e, '$.lineage') AS v FROM good WHERE kind = 'institution')
+SELECT delivery_row_id, kind AS child_kind, pos AS outer_pos, CAST(-1 AS BIGINT) AS inner_pos, CASE kind WHEN 'interest' THEN e ->> '$' WHEN 'year' THEN e ->> '$.year' ELSE e ->> '$.id' END AS child_key FROM good
+UNION ALL SELECT delivery_row_id, 'year', -1, -1, unnest(json_keys(v)) FROM fields WHERE kind = 'year' AND json_type(v) = 'OBJECT'
+UNION ALL SELECT delivery_row_id, 'lineage', pos, CAST(i AS BIGINT) - 1, l[i] ->> '$' FROM (SELECT delivery_row_id, pos, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT delivery_row_id, pos, CASE json_type(v) WHEN 'ARRAY' THEN json_extract(v, '$[*]') ELSE [v] END AS l FROM lines WHERE v IS NOT NULL AND json_type(v) <> 'NULL')) WHERE json_type(l[i]) <> 'NULL'""",
     "p4_found": f"""
 WITH iv AS (
   SELECT person_id, {_FLEX.format(c='start_date')} AS a, CASE WHEN end_date IS NULL THEN DATE '9999-12-31' ELSE {_FLEX.format(c='end_date')} END AS b FROM affiliation),
