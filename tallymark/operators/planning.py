@@ -37,10 +37,9 @@ def aggregate_records(records: DataFrame, person: str) -> DataFrame:
 
 
 def ordered_ids(own: DataFrame, accepted: DataFrame) -> DataFrame:
-    """(person_id, ids): the id on file first, then accepted ones in order, each once, joined by '|'."""
+    """(person_id, id, ordinal): the id on file at 0, then accepted ones at their ordinal, each once at its first place."""
     both = own.select("person_id", F.lit(0).cast("bigint").alias("o"), F.col("held_id").alias("id")).unionByName(accepted.select("person_id", F.col("ordinal").alias("o"), "id")).where("id is not null")
-    first = both.groupBy("person_id", "id").agg(F.min("o").alias("o"))
-    return first.groupBy("person_id").agg(F.sort_array(F.collect_list(F.struct("o", "id"))).alias("l")).select("person_id", F.array_join(F.transform("l", lambda x: x["id"]), "|").alias("ids"))
+    return both.groupBy("person_id", "id").agg(F.min("o").alias("ordinal"))
 
 
 def first_by_canonical(records: DataFrame, canonical: str, record: str) -> DataFrame:

@@ -10,32 +10,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallymark.session import materialize
+from tallymark.session import materialize, small_side
 
 
-def value_ranks(df: DataFrame, value: str, group: str | None = None) -> DataFrame:
-    """(group, value, n, rank_asc, rank_desc, percent_rank) for each distinct value.
+def ranked_cells(cells: DataFrame) -> DataFrame:
+    """Cells (_g, _v, _c: group, value, count) with _upto, the rows of the group up to and with the value, and _n, all of the group.
 
-    Ascending ranks put null first, descending ranks put it last, as SQL's RANK does with
-    those null orders; percent_rank is (rank_asc - 1) / (n - 1), 0 for a single row.
+    Null values come first. The cells are range-partitioned by group and value; a task holds one range.
     """
-    g = F.col(group) if group else F.lit(None).cast("string")
-    cells = df.groupBy(g.alias("_g"), F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
     cells = materialize(cells.repartitionByRange(F.col("_g").asc_nulls_first(), F.col("_v").asc_nulls_first()).withColumn("_p", F.spark_partition_id()), "rank-cells")
     before = Window.partitionBy("_g").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     heads = cells.groupBy("_g", "_p").agg(F.sum("_c").alias("_t"))
     heads = heads.select(F.col("_g").alias("_hg"), F.col("_p").alias("_hp"), F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_head"), F.sum("_t").over(Window.partitionBy("_g")).alias("_n"))
     inside = Window.partitionBy("_g", "_p").orderBy(F.col("_v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-    # One row per group and range partition.
-    ranked = cells.withColumn("_upto", F.sum("_c").over(inside)).join(F.broadcast(heads), F.col("_g").eqNullSafe(F.col("_hg")) & (F.col("_p") == F.col("_hp")))
-    upto = F.col("_head") + F.col("_upto")
-    low = upto - F.col("_c") + 1
+    ranked = cells.withColumn("_in", F.sum("_c").over(inside)).join(small_side(heads), F.col("_g").eqNullSafe(F.col("_hg")) & (F.col("_p") == F.col("_hp")))
+    return ranked.select("_g", "_v", "_c", (F.col("_head") + F.col("_in")).alias("_upto"), "_n")
+
+
+def value_ranks(df: DataFrame, value: str, group: str | None = None) -> DataFrame:
+    """(group, value, n, rank_asc, rank_desc, percent_rank) for each distinct value.
+
+    Ascending ranks put null first, descending ranks put it last, as SQL's RANK does with
+    those null orders; percent_rank is (rank_asc - 1) / (n - 1), 0 for a single row.
+    """
+    g = F.col(group) if group else F.lit(None).cast("string")
+    ranked = ranked_cells(df.groupBy(g.alias("_g"), F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c")))
+    low = F.col("_upto") - F.col("_c") + 1
     return ranked.select(
         *([F.col("_g").alias(group)] if group else []),
         F.col("_v").alias(value),
         F.col("_n").alias("n"),
         low.alias("rank_asc"),
-        (F.col("_n") - upto + 1).alias("rank_desc"),
+        (F.col("_n") - F.col("_upto") + 1).alias("rank_desc"),
         F.when(F.col("_n") > 1, (low - 1) / (F.col("_n") - 1)).otherwise(F.lit(0.0)).alias("percent_rank"),
     )
 

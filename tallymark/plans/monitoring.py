@@ -215,8 +215,8 @@ def search_priority(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "person").select("person_id", "google_scholar_id").join(last, "person_id", "left").select("person_id", tier.alias("tier"))
 
 
-@query("""SELECT person_id, string_agg(id, '|' ORDER BY o, id) AS ids FROM (SELECT person_id, id, min(o) AS o FROM (
-  SELECT person_id, 0 AS o, openalex_author_id AS id FROM person UNION ALL SELECT person_id, candidate_id, external_id FROM identity_candidates WHERE status = 'accepted' AND source = 'openalex') WHERE id IS NOT NULL GROUP BY person_id, id) GROUP BY person_id""")
+@query("""SELECT person_id, id, min(o) AS ordinal FROM (
+  SELECT person_id, 0 AS o, openalex_author_id AS id FROM person UNION ALL SELECT person_id, candidate_id, external_id FROM identity_candidates WHERE status = 'accepted' AND source = 'openalex') WHERE id IS NOT NULL GROUP BY person_id, id""")
 def accepted_ids(spark: SparkSession, d: str) -> DataFrame:
     acc = table(spark, d, "identity_candidates").where("status = 'accepted' and source = 'openalex'").select("person_id", F.col("candidate_id").alias("ordinal"), F.col("external_id").alias("id"))
     return P.ordered_ids(table(spark, d, "person").select("person_id", F.col("openalex_author_id").alias("held_id")), acc)
@@ -303,11 +303,11 @@ def status_history(spark: SparkSession, d: str) -> DataFrame:
     return P.fold_history(_runs(spark, d).where("n_ok is not null"), "source", "run_id", F.concat_ws(":", F.col("run_id").cast("string"), F.col("n_ok").cast("string")))
 
 
-@query("SELECT 'dep' || department_id AS \"key\", count(*) AS n FROM ap WHERE is_open GROUP BY department_id HAVING department_id IS NOT NULL")
+@query(f"{_RUNS} SELECT 'runs-' || source AS \"key\", count(*) AS n FROM runs WHERE n_bad >= 5 GROUP BY source")
 def issue_marker(spark: SparkSession, d: str) -> DataFrame:
     """Keys and members through the text form and back."""
-    rows = appointments(spark, d).where("is_open and department_id is not null").groupBy("department_id").agg(F.collect_list(F.col("affiliation_id").cast("string")).alias("m"))
-    body = rows.select(P.marker(F.concat(F.lit("dep"), F.col("department_id").cast("string")), F.col("m")).alias("body"))
+    rows = _runs(spark, d).where("n_bad >= 5").groupBy("source").agg(F.collect_list(F.col("run_id").cast("string")).alias("m"))  # runs of a fixed table
+    body = rows.select(P.marker(F.concat(F.lit("runs-"), F.col("source")), F.col("m")).alias("body"))
     return body.select(P.marker_key(F.col("body")).alias("key"), F.size(P.marker_members(F.col("body"))).cast("bigint").alias("n"))
 
 

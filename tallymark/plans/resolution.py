@@ -50,8 +50,8 @@ def jaro_winkler_pairs(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def name_similarity_pairs(spark: SparkSession, d: str) -> DataFrame:
     people = table(spark, d, "person").select("person_id", F.col("display_name").alias("own"), "first_name", "last_name")
-    pairs = _records(spark, d).groupBy("person_id").agg(F.collect_set("candidate_name").alias("variants")).join(people, "person_id")
-    return R.name_similarity(pairs, "own", "first_name", "last_name", "variants").select("person_id", "similarity")
+    pairs = _records(spark, d).select("person_id", "candidate_id", F.array("candidate_name").alias("variants")).join(people, "person_id")
+    return R.name_similarity(pairs, "own", "first_name", "last_name", "variants").select("person_id", "candidate_id", "similarity")
 
 
 @query(f"""SELECT k.candidate_id, CASE WHEN u.hit THEN 1e0 WHEN n.inst <> '' AND n.phd <> '' AND (contains(n.inst, n.phd) OR contains(n.phd, n.inst)) THEN 0.5e0 ELSE 0e0 END AS inst_level

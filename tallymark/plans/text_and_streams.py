@@ -44,13 +44,15 @@ def page_name_lines(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def page_titles(spark: SparkSession, d: str) -> DataFrame:
-    """Names with ranked titles in texts made into small listings: each person's line, then the rank of the appointment."""
+    """Names with ranked titles in listings of up to 200 people: each person's line, then the rank of the appointment."""
     people = table(spark, d, "person").select("person_id", "display_name")
     ranks = table(spark, d, "affiliation").where("end_date is null and is_primary = 1").select("person_id", "department_id", "rank")
     title = F.concat(F.initcap(F.regexp_replace(F.trim("rank"), "(?i)\\s*professor\\s*", "")), F.lit(" Professor"))
-    listing = ranks.join(people, "person_id").where("department_id is not null and rank is not null").select("department_id", F.concat_ws("\n", F.trim("display_name"), title).alias("entry"))
-    pages = listing.groupBy("department_id").agg(F.concat_ws("\n", F.sort_array(F.collect_list("entry"))).alias("text"))
-    return X.names_with_titles(X.page_lines(pages, "department_id", F.col("text")), "department_id")
+    listing = ranks.join(people, "person_id").where("department_id is not null and rank is not null")
+    page = F.concat_ws("-", F.col("department_id").cast("string"), F.expr("person_id div 200").cast("string"))
+    listing = listing.select(page.alias("page_id"), F.concat_ws("\n", F.trim("display_name"), title).alias("entry"))
+    pages = listing.distinct().groupBy("page_id").agg(F.concat_ws("\n", F.sort_array(F.collect_list("entry"))).alias("text"))
+    return X.names_with_titles(X.page_lines(pages, "page_id", F.col("text")), "page_id")
 
 
 @query("SELECT doc_id, lower(regexp_extract(url, '^https?://([^/?#]+)', 1)) AS host FROM documents WHERE url IS NOT NULL")
