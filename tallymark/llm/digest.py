@@ -16,7 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallymark.session import small_side
+from tallymark.operators.ranking import ranked_cells
+from tallymark.session import materialize, small_side
 
 #: Default compression: a digest has at most about this many centroids.
 COMPRESSION = 200
@@ -24,6 +25,8 @@ COMPRESSION = 200
 FAN_IN = 256
 #: Groups whose buffers a task keeps before it hands on what it has.
 GROUPS_HELD = 5_000
+#: Distinct values of a bracket that one task ranks.
+CELLS_HELD = 1_000_000
 DIGEST_TYPE = "struct<means: array<double>, weights: array<double>, lows: array<double>, highs: array<double>>"
 
 
@@ -225,8 +228,16 @@ def exact_medians(df: DataFrame, groups: list[str], value: Column, compression:
             .groupBy(*groups, "_n", "_x")
             .agg(F.count(F.lit(1)).alias("_c"))
         )
-        upto = Window.partitionBy(*groups).orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
-        ranked = cells.withColumn("_r", F.sum("_c").over(upto))
+        cells = materialize(cells, "median-cells")
+        most = cells.groupBy(*groups).count().agg(F.max("count")).first()[0]
+        if (most or 0) <= CELLS_HELD:
+            upto = Window.partitionBy(*groups).orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
+            ranked = cells.withColumn("_r", F.sum("_c").over(upto))
+        else:
+            # Very many distinct values in one bracket: counted by ranges of values, so no task holds them all.
+            key = F.to_json(F.struct(*[F.coalesce(F.col(g), F.lit("\u0000")).alias(g) for g in groups]))
+            counted = ranked_cells(cells.select(key.alias("_g"), F.col("_x").alias("_v"), "_c")).select(F.col("_g").alias("_cg"), "_v", "_upto")
+            ranked = cells.join(counted, (F.col("_x") == F.col("_v")) & (key == F.col("_cg"))).select(*groups, "_n", "_x", "_c", F.col("_upto").alias("_r"))
         lower, upper = F.expr("(_n + 1) div 2"), F.expr("_n div 2 + 1")
         holds = lambda k: (F.col("_r") >= k) & (F.col("_r") - F.col("_c") < k)
         return ranked.groupBy(*groups).agg(F.max(F.when(holds(lower), F.col("_x"))).alias("_a"), F.max(F.when(holds(upper), F.col("_x"))).alias("_b"), F.max("_n").alias("n"))

@@ -41,6 +41,9 @@ def test_exact_medians(spark, monkeypatch):
     df = spark.createDataFrame(rows, "g string, v bigint").repartition(5)
     want = {g: float(np.median([b for a, b in rows if a == g])) for g in ("even", "odd", "two", "one", "ties")}
     assert {x.g: x.median for x in D.exact_medians(df, ["g"], F.col("v")).collect()} == want
+    with monkeypatch.context() as m:
+        m.setattr(D, "CELLS_HELD", 3)
+        assert {x.g: x.median for x in D.exact_medians(df, ["g"], F.col("v")).collect()} == want
     # A bracket that misses the middle is noticed and counted over the whole range.
     monkeypatch.setattr(D, "quantile", lambda d, q: float(d[3][-1]))
     assert {x.g: x.median for x in D.exact_medians(df, ["g"], F.col("v")).collect()} == want
