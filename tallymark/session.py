@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -33,24 +35,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_LOCAL: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder that all executors share, as named in ``spark.checkpoint.dir``.
 
-    Only a local session without the setting gets a temporary folder; a cluster
-    session without it is an error, because a machine's own folder would be lost
-    with the machine.
+    Only a local session without the setting gets a temporary folder, gone when the program
+    ends; a cluster session without it is an error, because a machine's own folder would be
+    lost with the machine.
     """
     conf = spark.sparkContext.getConf()
     found = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
-    if not conf.get("spark.master", "local").startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    if conf.get("spark.master", "").startswith("local-cluster"):
+    master = conf.get("spark.master", "local")
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    made = "file://" + tempfile.mkdtemp(prefix="tallymark-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    if not _LOCAL:
+        _LOCAL.append(tempfile.mkdtemp(prefix="tallymark-"))
+        atexit.register(shutil.rmtree, _LOCAL[0], ignore_errors=True)
+    return "file://" + _LOCAL[0]
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
