@@ -1,8 +1,8 @@
 """Continuous periods and gaps of overlapping intervals by dyadic blocks.
 
 Every interval of whole days is cut into canonical dyadic blocks, at most two per
-level. Equal blocks fold away in the first aggregation, so what one entity can send
-to a task is bounded by the calendar and not by its rows. Blocks inside a larger
+level. Equal blocks fold into one set per entity before the shuffle, so what one entity can
+send to a task is bounded by the calendar and not by its rows. Blocks inside a larger
 block go, sibling pairs become their parent level by level, and what touches is
 joined into periods.
 """
@@ -23,23 +23,21 @@ EPOCH_SHIFT = 719_162
 
 
 def dyadic_blocks(first: Column, until: Column) -> Column:
-    """Canonical blocks of [first, until) as array<struct<level, idx>>.
+    """Canonical blocks of [first, until) as array<int> of tree nodes.
 
     At level k the remaining interval is [ceil(first / 2^k), floor(until / 2^k)); an odd
-    left end and an odd right end each give a block.
+    left end and an odd right end each give a block. Block i of level k is node
+    2^(LEVELS - k) + i, so the root is 1 and the parent of a node is its half.
     """
 
     def at(k: Column) -> Column:
         size = F.pow(F.lit(2.0), k)
+        base = F.pow(F.lit(2.0), F.lit(LEVELS) - k)
         left = F.ceil(first / size)
         right = F.floor(until / size)
-        return F.filter(
-            F.array(
-                F.struct(k.alias("level"), F.when((left < right) & (left % 2 == 1), left).alias("idx")),
-                F.struct(k.alias("level"), F.when((left < right) & (right % 2 == 1), right - 1).alias("idx")),
-            ),
-            lambda b: b["idx"].isNotNull(),
-        )
+        some = left < right
+        ends = F.array(F.when(some & (left % 2 == 1), base + left), F.when(some & (right % 2 == 1), base + right - 1))
+        return F.transform(F.filter(ends, lambda b: b.isNotNull()), lambda b: b.cast("int"))
 
     return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(LEVELS)), at))
 
@@ -72,34 +70,27 @@ def merge_blocks(key: np.ndarray, level: np.ndarray, idx: np.ndarray) -> tuple[n
 
 
 def _spans(batches: Iterator[pa.RecordBatch], key_name: str) -> Iterator[pa.RecordBatch]:
-    """Periods and gaps of the keys of one sorted partition; a key may cross batches."""
-    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    held_rows = 0
-
-    def emit(key: np.ndarray, level: np.ndarray, idx: np.ndarray) -> pa.RecordBatch:
-        k, first, until = merge_blocks(key, level, idx)
-        inner = np.flatnonzero(k[1:] == k[:-1]) if len(k) else np.empty(0, np.int64)
-        keys, kinds = np.r_[k, k[inner]], ["period"] * len(k) + ["gap"] * len(inner)
-        firsts, untils = np.r_[first, until[inner]], np.r_[until, first[inner + 1]]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(keys, pa.int64()), pa.array(kinds, pa.string()), pa.array(firsts - EPOCH_SHIFT, pa.int64()), pa.array(untils - EPOCH_SHIFT, pa.int64())],
-            names=[key_name, "span_kind", "first_n", "until_n"],
-        )
-
+    """Periods and gaps of keys whose nodes are gathered in one list each."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        key, level, idx = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3))
-        held.append((key, level, idx))
-        held_rows += len(key)
-        if held_rows < 200_000 or key[0] == key[-1]:
-            continue
-        key, level, idx = (np.concatenate(x) for x in zip(*held))
-        cut = np.searchsorted(key, key[-1], side="left")
-        yield emit(key[:cut], level[:cut], idx[:cut])
-        held, held_rows = [(key[cut:], level[cut:], idx[cut:])], len(key) - cut
-    if held:
-        yield emit(*(np.concatenate(x) for x in zip(*held)))
+        nodes = batch.column(1)
+        sizes = nodes.value_lengths().to_numpy(zero_copy_only=False)
+        node = nodes.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        key = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), sizes)
+        depth = np.frexp(node.astype(float))[1].astype(np.int64) - 1
+        k, first, until = merge_blocks(key, LEVELS - depth, node - (np.int64(1) << depth))
+        inner = np.flatnonzero(k[1:] == k[:-1])
+        kinds = ["period"] * len(k) + ["gap"] * len(inner)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.r_[k, k[inner]], pa.int64()),
+                pa.array(kinds, pa.string()),
+                pa.array(np.r_[first, until[inner]] - EPOCH_SHIFT, pa.int64()),
+                pa.array(np.r_[until, first[inner + 1]] - EPOCH_SHIFT, pa.int64()),
+            ],
+            names=[key_name, "span_kind", "first_n", "until_n"],
+        )
 
 
 def periods_and_gaps(df: DataFrame, key: str, first: Column, until: Column) -> DataFrame:
@@ -112,18 +103,14 @@ def periods_and_gaps(df: DataFrame, key: str, first: Column, until: Column) -> D
     gives an empty result; other columns of ``df`` play no part.
     """
     days = lambda d: F.datediff(d, F.to_date(F.lit("1970-01-01"))).cast("long") + EPOCH_SHIFT
+    # The set of a key's nodes is built before the shuffle; the calendar bounds it, whatever the number of rows.
     blocks = (
         df.select(F.col(key).cast("long").alias("k"), days(first).alias("a"), days(until).alias("b"))
         .where(F.col("k").isNotNull() & (F.col("a") >= 0) & (F.col("b") > F.col("a")))
-        .distinct()
-        .select("k", F.explode(dyadic_blocks(F.col("a"), F.col("b"))).alias("block"))
-        .select("k", F.col("block.level").cast("long").alias("level"), F.col("block.idx").cast("long").alias("idx"))
-        .distinct()
-    )
-    spans = (
-        blocks.repartition("k")
-        .sortWithinPartitions("k")
-        .mapInArrow(lambda it: _spans(it, "k"), "k bigint, span_kind string, first_n bigint, until_n bigint")
+        .select("k", F.explode(dyadic_blocks(F.col("a"), F.col("b"))).alias("node"))
+        .groupBy("k")
+        .agg(F.collect_set("node").alias("nodes"))
     )
+    spans = blocks.mapInArrow(lambda it: _spans(it, "k"), "k bigint, span_kind string, first_n bigint, until_n bigint")
     as_date = lambda n: F.date_add(F.to_date(F.lit("1970-01-01")), F.col(n).cast("int"))
     return spans.select(F.col("k").alias(key), "span_kind", as_date("first_n").alias("first_day"), as_date("until_n").alias("until_day"))
