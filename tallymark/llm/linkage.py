@@ -15,18 +15,18 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymark.functions.names import plain
 from tallymark.session import materialize, small_side
 
-#: Pairs of one pair of written names beyond which its records meet only with further evidence.
+#: Pairs of one pair of written names beyond which its records are compared in blocks, which give counted level patterns instead of rows of pairs. Results do not depend on it.
 HOT_PAIRS = 50_000
-#: People who agree in name, institution and count from which none of them can be told apart.
-TIED = 200
-# Words of institution names that tell nothing.
-COMMON_WORDS = ("university", "college", "institute", "state", "polytechnic", "technical", "design", "planning", "school", "studies", "urban", "dept", "department", "of", "the")
+#: Most people and candidates, about, of one block.
+PEOPLE_BLOCK, FOUND_BLOCK = 20_000, 2_000
 NAME_TYPE = "struct<f: string, m: string, l: string, w: int>"
 
 
@@ -82,62 +82,6 @@ def blocking_keys(forms: Column, person_side: bool) -> Column:
     return F.array_distinct(F.transform(F.flatten(F.transform(forms, of)), lambda k: F.xxhash64(k)))
 
 
-def _steps(counts: Column, person_side: bool) -> Column:
-    """Steps of the citation count; a candidate's from 0.3 to 1.5 times a person's lies at most four below and two above."""
-    step = F.transform(counts, lambda c: F.floor(F.log(c + 1.0) / F.log(F.lit(1.5))))
-    near = F.array_distinct(F.flatten(F.transform(step, lambda x: F.sequence(x - 4, x + 2)))) if person_side else step
-    texts = F.transform(near, lambda x: x.cast("string"))
-    none = F.array(F.lit("none"))
-    return F.concat(texts, none) if person_side else F.when(F.size(texts) == 0, none).otherwise(texts)
-
-
-def _evidence(insts: Column, counts: Column, person_side: bool) -> Column:
-    """Keys of what else agrees: institution (whole, or its longest telling word) with a step of the count.
-
-    Where a side has no institution the step alone is the key.
-    """
-    telling = lambda x: F.filter(F.split(x, " "), lambda w: ~w.isin(*COMMON_WORDS))
-    longest = F.transform(insts, lambda x: F.array_max(F.transform(telling(x), lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"])
-    names = F.concat(insts, F.filter(longest, lambda w: w.isNotNull()))
-    bare = F.size(insts) == 0
-    # A candidate without an institution may be anyone with a near count, a person without one likewise.
-    any_one, bare_one = F.array(F.lit("any")), F.array(F.lit("bare"))
-    alone = F.when(bare, F.concat(any_one, bare_one)).otherwise(any_one) if person_side else F.when(bare, any_one).otherwise(bare_one)
-    where = F.array_distinct(F.concat(names, alone))
-    return F.flatten(F.transform(where, lambda w: F.transform(_steps(counts, person_side), lambda x: F.concat_ws("#", w, x))))
-
-
-def blocked_pairs(people: DataFrame, found: DataFrame) -> DataFrame:
-    """(person_id, candidate_id) of the blocking passes, each pair once.
-
-    The passes pair distinct written names, however many records share one; records then meet
-    through their names. Two names whose records would give more than HOT_PAIRS pairs meet only
-    where institution and citation count are near as well. There a key with more than TIED
-    people gives no pair: a candidate that agrees alike with so many has a confidence far below
-    one half, so it has no match.
-    """
-    name = lambda f: F.xxhash64(f["f"], f["l"])
-    of_p = people.select("person_id", F.explode("forms").alias("x")).select("person_id", "x", name(F.col("x")).alias("p")).dropDuplicates(["person_id", "p"])
-    of_c = found.select("candidate_id", F.explode("forms").alias("x")).select("candidate_id", "x", name(F.col("x")).alias("c")).dropDuplicates(["candidate_id", "c"])
-    names = lambda df, n: df.groupBy(n).agg(F.first("x").alias("x"), F.count(F.lit(1)).alias(f"n_{n}"))
-    left = names(of_p, "p").select("p", "n_p", F.explode(blocking_keys(F.array("x"), True)).alias("k"))
-    right = names(of_c, "c").select("c", "n_c", F.explode(blocking_keys(F.array("x"), False)).alias("k"))
-    alike = materialize(left.join(right, "k").select("p", "c", "n_p", "n_c").distinct(), "linkage-names")
-    plain_names = alike.where(F.col("n_p") * F.col("n_c") <= HOT_PAIRS).select("p", "c")
-    pairs = of_p.select("person_id", "p").join(plain_names, "p").join(of_c.select("candidate_id", "c"), "c").select("person_id", "candidate_id")
-    hot = alike.where(F.col("n_p") * F.col("n_c") > HOT_PAIRS).select("p", "c")
-    if hot.isEmpty():
-        return pairs.distinct()
-    hot = small_side(hot)
-    more_p = people.select("person_id", F.explode(_evidence(F.concat("insts", "doctorate"), F.col("counts"), True)).alias("e"))
-    more_c = found.select("candidate_id", F.explode(_evidence(F.col("insts"), F.when(F.col("count").isNotNull(), F.array("count")).otherwise(F.array().cast("array<bigint>")), False)).alias("e"))
-    fine_p = of_p.select("person_id", "p").join(hot, "p").join(more_p, "person_id").select("person_id", F.xxhash64("p", "c", "e").alias("k"))
-    fine_c = of_c.select("candidate_id", "c").join(hot, "c").join(more_c, "candidate_id").select("candidate_id", F.xxhash64("p", "c", "e").alias("k"))
-    told = fine_p.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= TIED).select("k")
-    close = fine_p.join(told, "k", "left_semi").join(fine_c, "k").select("person_id", "candidate_id")
-    return pairs.unionByName(close).distinct()
-
-
 def name_level(a: Column, b: Column) -> Column:
     """Level of agreement of two name forms: 0 to 6."""
     same_f, same_l = a["f"] == b["f"], a["l"] == b["l"]
@@ -161,10 +105,18 @@ def name_level(a: Column, b: Column) -> Column:
     )
 
 
+def alike_texts(x: Column, y: Column) -> Column:
+    return (F.levenshtein(x, y, 2) >= 0) & (F.length(y) > 8)
+
+
+def inside_texts(x: Column, y: Column) -> Column:
+    return (F.length(y) > 5) & x.contains(y) | (F.length(x) > 12) & y.contains(x)
+
+
 def institution_level(people: Column, doctorate: Column, found: Column) -> Column:
     """3 an appointment's university, 2 the doctorate's or a shortened name, 1 nothing to compare, 0 none of them."""
-    alike = lambda xs, ys: F.exists(xs, lambda x: F.exists(ys, lambda y: (F.levenshtein(x, y, 2) >= 0) & (F.length(y) > 8)))
-    inside = lambda xs, ys: F.exists(xs, lambda x: F.exists(ys, lambda y: (F.length(y) > 5) & x.contains(y) | (F.length(x) > 12) & y.contains(x)))
+    alike = lambda xs, ys: F.exists(xs, lambda x: F.exists(ys, lambda y: alike_texts(x, y)))
+    inside = lambda xs, ys: F.exists(xs, lambda x: F.exists(ys, lambda y: inside_texts(x, y)))
     both = F.concat(people, doctorate)
     return F.when((F.size(found) == 0) | (F.size(both) == 0), 1).when(alike(people, found), 3).when(alike(doctorate, found) | inside(both, found), 2).otherwise(0)
 
@@ -222,30 +174,151 @@ def fit(patterns: np.ndarray, counts: np.ndarray, rounds: int = 500, prior: floa
     return model
 
 
+#: Fields of a level pattern as they come from a block, in the order of its codes.
+BLOCK_ROW = "candidate_id bigint, name_level int, inst_level int, count_level int, report_level int, n bigint, person_id bigint"
+
+
+def _padded(lists: pa.ChunkedArray, fill) -> np.ndarray:
+    """Lists as a matrix with one column per list, short ones filled up."""
+    n = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+    flat = pc.list_flatten(lists).to_numpy()
+    out = np.full((len(n), max(int(n.max(initial=0)), 1)), fill)
+    out[np.arange(out.shape[1]) < n[:, None]] = flat
+    return np.ascontiguousarray(out.T)
+
+
+def _count_levels(figure: float, shift: float, on_file: np.ndarray) -> np.ndarray:
+    """``count_level`` of one figure against the columns of a matrix that NaN fills up."""
+    r = (figure + shift) / (on_file + shift)
+    least = r >= 0.3
+    near, same = (least & (r <= 1.5)).any(0), ((r >= 0.55) & (r <= 1.15)).any(0)
+    return np.where(np.isnan(on_file).all(0), 2, np.where(same, 4, np.where(near, 3, np.where(least.any(0), 0, 1))))
+
+
+def _block(left: pa.Table, right: pa.Table) -> pa.Table:
+    """Every candidate of a block against every person: one row per candidate and level pattern, with the number of people and the smallest id."""
+    left = left.sort_by("person_id")
+    right = right.sort_by("evidence")
+    ids, names = left["person_id"].to_numpy(), left["name_level"].to_numpy().astype(np.int64) * 20
+    counts, indexes = (_padded(left[c].cast(pa.list_(pa.float64())), np.nan) for c in ("counts", "indexes"))
+    insts, doctorate = (_padded(left[c], 0) for c in ("insts", "doctorate"))
+    filled_i, filled_d = (np.arange(m.shape[0])[:, None] < pc.list_value_length(left[c]).to_numpy() for m, c in ((insts, "insts"), (doctorate, "doctorate")))
+    bare = ~(filled_i.any(0) | filled_d.any(0))
+    out: dict[str, list] = {c: [] for c in ("candidate_id", "code", "report_level", "n", "person_id")}
+    last, base = None, names
+    for c in right.to_pylist():
+        if c["evidence"] != last:
+            last = c["evidence"]
+            held = lambda m, filled, xs: (np.isin(m, np.array(xs, np.int64)) & filled).any(0)
+            some = held(doctorate, filled_d, c["alike"]) | held(insts, filled_i, c["inside"]) | held(doctorate, filled_d, c["inside"])
+            level = np.where(held(insts, filled_i, c["alike"]), 3, np.where(some, 2, 0))
+            base = names + 5 * np.where(bare | c["bare"], 1, level)
+        if c["count"] is not None:
+            steps = _count_levels(float(c["count"]), 1.0, counts)
+        elif c["h_index"] is not None:
+            steps = _count_levels(float(c["h_index"]), 0.5, indexes)
+        else:
+            steps = 2
+        code = base + steps
+        n = np.bincount(code, minlength=140)
+        least = np.zeros(140, np.int64)
+        least[code[::-1]] = ids[::-1]  # the last one written is the smallest
+        seen = np.flatnonzero(n)
+        out["candidate_id"] += [c["candidate_id"]] * len(seen)
+        out["report_level"] += [c["report_level"]] * len(seen)
+        for field_name, values in (("code", seen), ("n", n[seen]), ("person_id", least[seen])):
+            out[field_name] += values.tolist()
+    code = np.array(out["code"], np.int64)
+    whole = lambda c: pa.array(out[c], pa.int64())
+    small = lambda x: pa.array(x, pa.int32())
+    columns = [whole("candidate_id"), small(code // 20), small(code // 5 % 4), small(code % 5), small(out["report_level"]), whole("n"), whole("person_id")]
+    return pa.table(columns, names=[x.split()[0] for x in BLOCK_ROW.split(", ")])
+
+
+def _hot_patterns(people: DataFrame, found: DataFrame, groups: DataFrame) -> DataFrame:
+    """Counted level patterns of all pairs of people and candidates whose sets of forms ``groups`` (gp, gc) pairs.
+
+    Levels of names are found once per pair of sets of forms, agreement of institutions once
+    per pair of distinct texts; blocks of people and candidates then meet in Arrow tables, so
+    no pair becomes a row.
+    """
+    p_groups = people.groupBy("gp").agg(F.first("forms").alias("pf"), F.count(F.lit(1)).alias("n_p"))
+    c_groups = found.groupBy("gc").agg(F.first("forms").alias("cf"), F.count(F.lit(1)).alias("n_c"))
+    levels = F.array_max(F.flatten(F.transform("pf", lambda a: F.transform(F.col("cf"), lambda b: name_level(a, b)))))
+    named = materialize(groups.join(p_groups, "gp").join(c_groups, "gc").select("gp", "gc", levels.alias("name_level"), "n_p", "n_c"), "linkage-hot-names")
+    blocks = small_side(named.groupBy("gc").agg(F.ceil(F.sum("n_p") / PEOPLE_BLOCK).alias("bp"), F.ceil(F.first("n_c") / FOUND_BLOCK).alias("bc")))
+    people = people.join(small_side(named.select("gp").distinct()), "gp", "left_semi")
+    found = found.join(blocks, "gc")
+    xs = people.select(F.explode(F.concat("insts", "doctorate")).alias("x")).distinct()
+    ys = found.select(F.explode("insts").alias("y")).distinct()
+    alike, inside = alike_texts(F.col("x"), F.col("y")), inside_texts(F.col("x"), F.col("y"))
+    code = lambda c: F.xxhash64(c)
+    met = ys.crossJoin(small_side(xs)).where(alike | inside).groupBy("y").agg(F.collect_set(F.when(alike, code("x"))).alias("alike"), F.collect_set(F.when(inside, code("x"))).alias("inside"))
+    texts = found.select("insts").distinct().select("insts", F.explode("insts").alias("y")).join(met, "y").groupBy("insts")
+    texts = texts.agg(F.flatten(F.collect_list("alike")).alias("alike"), F.flatten(F.collect_list("inside")).alias("inside"))
+    none = lambda c: F.coalesce(F.col(c), F.array().cast("array<bigint>")).alias(c)
+    codes = lambda c: F.transform(c, code).alias(c)
+    left = people.join(small_side(named.select("gp", "gc", "name_level")), "gp").join(blocks, "gc").select(
+        "gc", F.pmod(F.xxhash64("person_id"), F.col("bp")).alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("bc") - 1)).alias("j"), "person_id", "name_level", codes("insts"), codes("doctorate"), "counts", "indexes"
+    )
+    right = found.join(texts, "insts", "left").select(
+        "gc", F.explode(F.sequence(F.lit(0).cast("long"), F.col("bp") - 1)).alias("i"), F.pmod(F.xxhash64("candidate_id"), F.col("bc")).alias("j"),
+        "candidate_id", (F.size("insts") == 0).alias("bare"), F.xxhash64("insts").alias("evidence"), none("alike"), none("inside"), "count", "h_index", report_level(F.col("reported")).alias("report_level"),
+    )
+    # A set number of partitions, since small blocks take long.
+    spread = lambda df: df.repartition(max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 4 * df.sparkSession.sparkContext.defaultParallelism), "gc", "i", "j").groupBy("gc", "i", "j")
+    rows = spread(left).cogroup(spread(right)).applyInArrow(_block, BLOCK_ROW)
+    return rows.groupBy("candidate_id", *LEVELS).agg(F.sum("n").alias("n"), F.min("person_id").alias("person_id"))
+
+
 def compared_pairs(people: DataFrame, found: DataFrame) -> DataFrame:
-    """Blocked pairs with their levels.
+    """Blocked pairs with their levels: person_id, candidate_id, the levels and n.
 
     ``people``: person_id, forms, insts, doctorate (arrays), counts (array of citation counts
     by source), indexes (array of h-indexes). ``found``: candidate_id, forms, insts, count,
     h_index, reported. Every array may be empty, every other value null.
+
+    The passes pair distinct written names, however many records share one; records then meet
+    through their names. Where two names would give more than HOT_PAIRS pairs, a candidate's
+    people that agree with it alike are one row: their smallest person_id and their number n.
+    Other rows are one pair, n = 1. Every blocked pair counts in exactly one row.
     """
     # Only the named columns travel, so other columns of the tables cannot clash.
-    people = people.select("person_id", "forms", "insts", "doctorate", "counts", "indexes")
-    found = found.select("candidate_id", "forms", "insts", "count", "h_index", "reported")
-    pairs = blocked_pairs(people, found)
-    both = pairs.join(people.withColumnsRenamed({"forms": "pf", "insts": "pi"}), "person_id").join(found.withColumnsRenamed({"forms": "cf", "insts": "ci"}), "candidate_id")
+    people = people.select("person_id", "forms", "insts", "doctorate", "counts", "indexes").withColumn("gp", F.xxhash64(F.sort_array("forms")))
+    found = found.select("candidate_id", "forms", "insts", "count", "h_index", "reported").withColumn("gc", F.xxhash64(F.sort_array("forms")))
+    name = lambda f: F.xxhash64(f["f"], f["l"])
+    of_p = people.select("person_id", "gp", F.explode("forms").alias("x")).select("person_id", "gp", "x", name(F.col("x")).alias("p")).dropDuplicates(["person_id", "p"])
+    of_c = found.select("candidate_id", "gc", F.explode("forms").alias("x")).select("candidate_id", "gc", "x", name(F.col("x")).alias("c")).dropDuplicates(["candidate_id", "c"])
+    names = lambda df, n: df.groupBy(n).agg(F.first("x").alias("x"), F.count(F.lit(1)).alias(f"n_{n}"))
+    left = names(of_p, "p").select("p", "n_p", F.explode(blocking_keys(F.array("x"), True)).alias("k"))
+    right = names(of_c, "c").select("c", "n_c", F.explode(blocking_keys(F.array("x"), False)).alias("k"))
+    alike = materialize(left.join(right, "k").select("p", "c", "n_p", "n_c").distinct(), "linkage-names")
+    few = F.col("n_p") * F.col("n_c") <= HOT_PAIRS
+    hot = alike.where(~few).select("p", "c")
+    some_hot = not hot.isEmpty()
+    groups = ["gp", "gc"] if some_hot else []
+    pairs = of_p.select("person_id", "p", "gp").join(alike.where(few).select("p", "c"), "p").join(of_c.select("candidate_id", "c", "gc"), "c").select("person_id", "candidate_id", *groups)
+    if some_hot:
+        hot = of_p.select("gp", "p").distinct().join(small_side(hot), "p").join(of_c.select("gc", "c").distinct(), "c").select("gp", "gc").distinct()
+        hot = materialize(hot, "linkage-hot")
+        # A pair that also meets through a rarer name counts in its block alone.
+        pairs = pairs.join(small_side(hot), ["gp", "gc"], "left_anti").select("person_id", "candidate_id")
+    pairs = pairs.distinct()
+    both = pairs.join(people.drop("gp").withColumnsRenamed({"forms": "pf", "insts": "pi"}), "person_id").join(found.drop("gc").withColumnsRenamed({"forms": "cf", "insts": "ci"}), "candidate_id")
     levels = F.array_max(F.flatten(F.transform("pf", lambda a: F.transform(F.col("cf"), lambda b: name_level(a, b)))))
     ratios = F.when(F.col("count").isNotNull(), F.transform("counts", lambda x: (F.col("count") + 1.0) / (x + 1.0))).otherwise(
         F.when(F.col("h_index").isNotNull(), F.transform("indexes", lambda x: (F.col("h_index") + 0.5) / (x + 0.5))).otherwise(F.array().cast("array<double>"))
     )
-    return both.select(
+    rows = both.select(
         "person_id",
         "candidate_id",
         levels.alias("name_level"),
         institution_level(F.col("pi"), F.col("doctorate"), F.col("ci")).alias("inst_level"),
         count_level(ratios).alias("count_level"),
         report_level(F.col("reported")).alias("report_level"),
+        F.lit(1).cast("long").alias("n"),
     )
+    return rows.unionByName(_hot_patterns(people, found, hot)) if some_hot else rows
 
 
 def link(people: DataFrame, found: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -258,17 +331,18 @@ def link(people: DataFrame, found: DataFrame, threshold: float = 0.5) -> DataFra
     pairs = materialize(compared_pairs(people, found), "linkage-pairs")
     # A candidate weighs one in all, however many pairs it has, so one very common name cannot set the model.
     share = F.col("c") / F.sum("c").over(Window.partitionBy("candidate_id"))
-    weights = pairs.groupBy("candidate_id", *LEVELS).agg(F.count(F.lit(1)).alias("c")).withColumn("share", share)
+    weights = pairs.groupBy("candidate_id", *LEVELS).agg(F.sum("n").alias("c")).withColumn("share", share)
     rows = weights.groupBy(*LEVELS).agg(F.sum("share").alias("count")).orderBy(*LEVELS).collect()  # at most the product of the level counts
     if not rows:
-        return pairs.withColumn("confidence", F.lit(0.0))
+        return pairs.drop("n").withColumn("confidence", F.lit(0.0))
     model = fit(np.array([[r[f] for f in LEVELS] for r in rows]), np.array([r["count"] for r in rows], float))
     odds = F.lit(model.prior / (1 - model.prior))
     for f in LEVELS:
         odds = odds * F.get(F.array(*[F.lit(float(x)) for x in model.m[f] / model.u[f]]), F.col(f))
     # Partial sums by candidate fold before the shuffle; only pairs with some weight of their own are ranked.
     scored = pairs.withColumn("odds", odds)
-    total = scored.groupBy("candidate_id").agg(F.sum("odds").alias("all_odds"))
+    total = scored.groupBy("candidate_id").agg(F.sum(F.col("n") * F.col("odds")).alias("all_odds"))
     best = scored.where("odds > 0.05").join(total, "candidate_id").withColumn("confidence", F.col("odds") / (1 + F.col("all_odds")))
+    # People that agree alike have the same confidence, so the smallest id of their row is the one that ranks first.
     rank = F.row_number().over(Window.partitionBy("candidate_id").orderBy(F.desc("confidence"), "person_id"))
-    return best.where(F.col("confidence") >= threshold).withColumn("n", rank).where("n = 1").select("person_id", "candidate_id", *LEVELS, "confidence")
+    return best.where(F.col("confidence") >= threshold).withColumn("place", rank).where("place = 1").select("person_id", "candidate_id", *LEVELS, "confidence")

@@ -91,3 +91,43 @@ def test_hot_names_are_refined_without_loss(spark, monkeypatch):
     fine = {(x.person_id, x.candidate_id) for x in L.link(p, f).collect()}
     assert L.compared_pairs(p, f).count() < n_plain / 2
     assert len(right & fine) >= 392 and len(fine - right) <= 2
+
+
+def hot_tables(spark, people, found):
+    """Everyone is called Ann Brook, with or without one of three middle names."""
+    middle = lambda i: ["", "Mary ", "K. ", "Zoe "][i % 4]
+    p = [(i, f"Ann {middle(i)}Brook", insts, doctorate, counts, [len(insts) + 3]) for i, (insts, doctorate, counts) in enumerate(people)]
+    f = [(i, f"Ann {middle(i)}Brook", insts, count, h, 0.8 if i % 3 else None) for i, (insts, count, h) in enumerate(found)]
+    return tables(spark, p, f)
+
+
+def patterns(rows):
+    out = {}
+    for x in rows:
+        k = (x.candidate_id, *(x[f] for f in L.LEVELS))
+        n, least = out.get(k, (0, x.person_id))
+        out[k] = (n + x.n, min(least, x.person_id))
+    return out
+
+
+def both_ways(spark, monkeypatch, take):
+    got = []
+    for hot_pairs in (10**12, 100):
+        monkeypatch.setattr(L, "HOT_PAIRS", hot_pairs)
+        got.append(take())
+    return got
+
+
+def confidences(p, f):
+    return {(x.person_id, x.candidate_id): round(x.confidence, 9) for x in L.link(p, f).collect()}
+
+
+def test_many_people_that_agree_alike_count_as_rivals(spark, monkeypatch):
+    # 300 people share institution and count, so one key of evidence holds them all.
+    monkeypatch.setattr(L, "PEOPLE_BLOCK", 70, raising=False)
+    people = [(["university of oaks"], [], [100])] * 300 + [([f"college of place {chr(97 + i)}x"], [], [100 * i]) for i in range(20)]
+    p, f = hot_tables(spark, people, [(["university of oaks"], 95, 5)] * 8 + [([f"college of place {chr(97 + i)}x"], 100 * i, 5) for i in range(20)])
+    plain, hot = both_ways(spark, monkeypatch, lambda: confidences(p, f))
+    assert plain and hot == plain
+    plain, hot = both_ways(spark, monkeypatch, lambda: patterns(L.compared_pairs(p, f).collect()))
+    assert sum(n for n, _ in hot.values()) == len(people) * 28 and hot == plain
