@@ -67,6 +67,16 @@ class Target:
     max_repeats: int
 
 
+def _parts(p: tuple) -> tuple[tuple[str, ...], int]:
+    """Sources of a pattern, and how often its texts count as used before: a number at its end."""
+    return (p[:-1], p[-1]) if isinstance(p[-1], int) else (p, 0)
+
+
+def _written(p: tuple) -> str:
+    names, before = _parts(p)
+    return "|".join([str(before), *names])
+
+
 def route(patterns: dict[tuple[str, ...], int], targets: list[Target], total: int) -> dict[tuple[tuple[str, ...], str], int]:
     """Tokens that each pattern gives to each source for a mixture of ``total`` tokens, at least repetition cost."""
     names = list(patterns)
@@ -77,9 +87,10 @@ def route(patterns: dict[tuple[str, ...], int], targets: list[Target], total: in
     by = {t.source: t for t in targets}
     ways = {}
     for p, tokens in patterns.items():
-        for k in range(sum(by[s].max_repeats for s in p)):
+        held_by, before = _parts(p)
+        for k in range(before, before + sum(by[s].max_repeats for s in held_by)):
             net.arc(start, node_p[p], tokens, k * k)
-        for s in p:
+        for s in held_by:
             ways[p, s] = net.arc(node_p[p], node_s[s], tokens * by[s].max_repeats, 0)
     for t in targets:
         net.arc(node_s[t.source], end, int(t.share * total), 0)
@@ -104,25 +115,30 @@ def mix(df: DataFrame, doc_id: str, text_key: str, source: str, tokens: str, tar
     """Chosen documents with their number of uses: doc_id, source, n_tokens, repeats, pattern.
 
     ``df`` has one row per document; documents with the same ``text_key`` hold the same text,
-    and a source uses a text through its smallest doc_id, at most ``max_repeats`` times. Rows
+    and a source uses each of its documents at most ``max_repeats`` times. The smallest doc_id
+    of a text in a source stands for the text; further copies are units of their own whose
+    first use costs as much as a second one of the text. Rows
     with a null key, no tokens, or a source without a positive target play no part. ``total``
-    is the size of the mixture in tokens; without it, as many as there are in the texts or, if
+    is the size of the mixture in tokens; without it, as many as there are in these units or, if
     the quotas cannot be met then, the largest mixture for which they can. The same seed gives
     the same choice. Without any usable document or target the result is empty.
     """
     spark = df.sparkSession
     targets = [t for t in targets if t.share > 0 and t.max_repeats > 0]
     held = df.where(F.col(text_key).isNotNull() & (F.col(tokens) > 0) & F.col(source).isin([t.source for t in targets]))
-    units = (
-        held.groupBy(F.col(text_key).alias("_u"), F.col(source).alias("_s"))
-        .agg(F.min(doc_id).alias("_id"), F.max(tokens).alias("_n"))
-        .groupBy("_u")
-        .agg(F.max("_n").alias("_n"), F.sort_array(F.collect_list(F.struct("_s", "_id"))).alias("_in"))
-        .withColumn("_p", F.concat_ws("|", F.transform("_in", lambda x: x["_s"])))
+    held = materialize(held.select(F.col(text_key).alias("_u"), F.col(source).alias("_s"), F.col(doc_id).alias("_id"), F.col(tokens).alias("_n")), "mix-held")
+    first = held.groupBy("_u", "_s").agg(F.min("_id").alias("_id"), F.max("_n").alias("_n"))
+    units = first.groupBy("_u").agg(F.max("_n").alias("_n"), F.sort_array(F.collect_list(F.struct("_s", "_id"))).alias("_in"))
+    # Joined by document, so a text with very many copies is no hot key; its copies have hashes of their own.
+    more = held.join(first.select("_id", "_s"), ["_id", "_s"], "left_anti").dropDuplicates(["_id", "_s"])
+    units = units.select("_u", "_n", "_in", F.lit(0).alias("_before"), F.xxhash64("_u", F.lit(seed)).alias("_h")).unionByName(
+        more.select("_u", "_n", F.array(F.struct("_s", "_id")).alias("_in"), F.lit(1).alias("_before"), F.xxhash64("_u", "_id", F.lit(seed)).alias("_h"))
     )
-    units = materialize(units.withColumn("_h", F.xxhash64("_u", F.lit(seed))), "mix-units")
-    # One row per pattern: at most 2 to the number of targets.
-    sizes = {tuple(r["_p"].split("|")): (r["t"], r["n"]) for r in units.groupBy("_p").agg(F.sum("_n").alias("t"), F.count(F.lit(1)).alias("n")).collect()}
+    units = units.withColumn("_q", F.concat_ws("|", F.transform("_in", lambda x: x["_s"])))
+    units = materialize(units.withColumn("_p", F.concat_ws("|", F.col("_before").cast("string"), "_q")).drop("_before"), "mix-units")
+    # One row per pattern: at most 2 to the number of targets, and one more per target.
+    key = lambda written: (*written.split("|")[1:], *([1] if written.startswith("1|") else []))
+    sizes = {key(r["_p"]): (r["t"], r["n"]) for r in units.groupBy("_p").agg(F.sum("_n").alias("t"), F.count(F.lit(1)).alias("n")).collect()}
     patterns = {p: t for p, (t, _) in sizes.items()}
     out_schema = f"{doc_id} bigint, {source} string, n_tokens bigint, repeats bigint, pattern string"
     if not patterns:
@@ -131,9 +147,9 @@ def mix(df: DataFrame, doc_id: str, text_key: str, source: str, tokens: str, tar
     served = [t for t in targets if any(t.source in p for p in patterns)]
     aim = total if total is not None else largest_total(patterns, served, sum(patterns.values()))
     stretches, start = [], {}
-    for (p, s), flow in sorted(route(patterns, served, aim).items()):
+    for (p, s), flow in sorted(route(patterns, served, aim).items(), key=lambda way: (_written(way[0][0]), way[0][1])):
         a = start.get(p, 0)
-        stretches.append(("|".join(p), s, a, a + flow, patterns[p]))
+        stretches.append((_written(p), s, a, a + flow, patterns[p]))
         start[p] = a + flow
     if not stretches:
         return spark.createDataFrame([], out_schema)
@@ -152,7 +168,7 @@ def mix(df: DataFrame, doc_id: str, text_key: str, source: str, tokens: str, tar
         placed.join(plan, "_p")
         .withColumn("_uses", uses.cast("long"))
         .where("_uses > 0")
-        .select(F.filter("_in", lambda x: x["_s"] == F.col("_s"))[0]["_id"].cast("long").alias(doc_id), F.col("_s").alias(source), F.col("_n").alias("n_tokens"), F.col("_uses").alias("repeats"), F.col("_p").alias("pattern"))
+        .select(F.filter("_in", lambda x: x["_s"] == F.col("_s"))[0]["_id"].cast("long").alias(doc_id), F.col("_s").alias(source), F.col("_n").alias("n_tokens"), F.col("_uses").alias("repeats"), F.col("_q").alias("pattern"))
     )
 
 

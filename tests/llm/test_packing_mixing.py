@@ -102,3 +102,19 @@ def test_mix(spark):
     said = {x.source: x for x in M.shares(spark.createDataFrame(out), "source", targets).collect()}
     assert said["none"].n_tokens == 0 and abs(said["a"].actual_share - total["a"] / whole) < 1e-9
     assert M.mix(df.limit(0), "doc", "key", "source", "n", targets).count() == 0
+
+
+def test_copies_in_one_source_are_documents(spark):
+    # 90 of the 100 documents of a are copies of one text; each may be used once.
+    rows = [(i, "copy" if i < 90 else f"a{i}", "a", 10) for i in range(100)] + [(1000 + i, f"b{i}", "b", 10) for i in range(100)]
+    df = spark.createDataFrame(rows, "doc bigint, key string, source string, n bigint")
+    targets = [M.Target("a", 0.5, 1), M.Target("b", 0.5, 1)]
+    out = M.mix(df, "doc", "key", "source", "n", targets).collect()
+    assert {(x.doc, x.source, x.repeats, x.pattern) for x in out} == {(d, s, 1, s) for d, _, s, _ in rows}
+    # A smaller mixture takes every text once before it takes a second copy.
+    few = {x.doc for x in M.mix(df, "doc", "key", "source", "n", targets, total=240).collect() if x.source == "a"}
+    assert {0, *range(90, 100)} <= few and len(few) == 12
+    # And no document is used more than allowed.
+    out = M.mix(df, "doc", "key", "source", "n", [M.Target("a", 0.75, 3), M.Target("b", 0.25, 1)]).collect()
+    uses = collections.Counter({x.doc: x.repeats for x in out if x.source == "a"})
+    assert len(uses) == 100 and max(uses.values()) <= 3
