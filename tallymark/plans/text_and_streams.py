@@ -44,7 +44,7 @@ def page_name_lines(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def page_titles(spark: SparkSession, d: str) -> DataFrame:
-    """Names with ranked titles in listings of up to 200 people: each person's line, then the rank of the appointment."""
+    """Names with ranked titles in all documents ('doc-' and their id) and in listings of up to 200 people: each person's line, then the rank of the appointment."""
     people = table(spark, d, "person").select("person_id", "display_name")
     ranks = table(spark, d, "affiliation").where("end_date is null and is_primary = 1").select("person_id", "department_id", "rank")
     title = F.concat(F.initcap(F.regexp_replace(F.trim("rank"), "(?i)\\s*professor\\s*", "")), F.lit(" Professor"))
@@ -52,6 +52,8 @@ def page_titles(spark: SparkSession, d: str) -> DataFrame:
     page = F.concat_ws("-", F.col("department_id").cast("string"), F.expr("person_id div 200").cast("string"))
     listing = listing.select(page.alias("page_id"), F.concat_ws("\n", F.trim("display_name"), title).alias("entry"))
     pages = listing.distinct().groupBy("page_id").agg(F.concat_ws("\n", F.sort_array(F.collect_list("entry"))).alias("text"))
+    docs = table(spark, d, "documents").select(F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("page_id"), "text")
+    pages = pages.unionByName(docs)
     return X.names_with_titles(X.page_lines(pages, "page_id", F.col("text")), "page_id")
 
 
@@ -60,12 +62,28 @@ def page_hosts(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").where("url is not null").select("doc_id", F.lower(F.try_parse_url("url", F.lit("HOST"))).alias("host"))
 
 
+def _line_links(text):
+    """A link for each line or sentence of a text, in eight kinds: of the own host or another, whole or relative, repeated, quoted and spelt either way, or no link to a page."""
+    n = F.size(F.split(F.coalesce(text, F.lit("")), "\n|[.] "))
+    own = F.regexp_extract("url", "^(?i)(https?://[^/?#]+)", 1)
+
+    def link(i):
+        kinds = [('<a href="/line/', '">'), ("<A class='x' HREF='/line/", "'>"), ('<a href="https://elsewhere.example/', '">'), ('<a href="#', '">'), ('<a href="mailto:x', '@u.example">')]
+        texts = [F.concat(F.lit(head), i.cast("string"), F.lit(tail)) for head, tail in kinds]
+        texts.append(F.concat(F.lit('<a href="/line/'), (i - 5).cast("string"), F.lit('#part">')))
+        texts.append(F.concat(F.lit('<a href="'), own, F.lit("/whole/"), i.cast("string"), F.lit('">')))
+        texts.append(F.concat(F.lit('<a href="/line/'), (i - 7).cast("string"), F.lit('">')))
+        return F.concat(F.get(F.array(*texts), i % len(texts)), F.lit("x</a>\n"))
+
+    return F.array_join(F.transform(F.sequence(F.lit(0), n - 1), link), "")
+
+
 @query()
 def page_links(spark: SparkSession, d: str) -> DataFrame:
-    """Links of pages made from the documents' urls, kept to the page's own host."""
-    docs = table(spark, d, "documents").where("url is not null").select("doc_id", "url")
-    html = F.concat(F.lit('<a href="'), F.col("url"), F.lit('">x</a><a href="/people">y</a><a href="https://elsewhere.example/">z</a><a href="/people">y</a>'))
-    return X.page_links(docs.withColumn("html", html), "doc_id", "url", "html")
+    """Links of pages made from the documents' urls and the lines and sentences of their texts, kept to the page's own host."""
+    docs = table(spark, d, "documents").where("url is not null").select("doc_id", "url", "text")
+    html = F.concat(F.lit('<a href="'), F.col("url"), F.lit('">x</a><a href="/people">y</a><a href="https://elsewhere.example/">z</a><a href="/people">y</a>'), _line_links(F.col("text")))
+    return X.page_links(docs.select("doc_id", "url", html.alias("html")), "doc_id", "url", "html")
 
 
 def _stream(spark, d):

@@ -1,9 +1,11 @@
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from tallymark.operators import extract as X
+from tallymark.plans import text_and_streams as T
 from tallymark.sources import files as S
 from tallymark.streaming import follow as W
 
@@ -109,3 +111,18 @@ def test_stream_replay(spark, tmp_path):
     assert W.run_to_end(W.once_per_key(stream()), "once", "append").count() == 5
     drops = W.previous_reading_drops(spark, stream()).collect()
     assert [(r.person_id, r.previous, r.total_citations) for r in drops] == [(1, 20, 9)]
+
+
+def test_page_queries_read_the_documents(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    want = {(f"doc-{r.doc_id}", r.name, r.rank_name) for r in X.names_with_titles(X.page_lines(docs.select("doc_id", "text"), "doc_id", F.col("text")), "doc_id").collect()}
+    got = {tuple(r) for r in T.page_titles(spark, sf).collect()}
+    assert want and {r for r in got if r[0].startswith("doc-")} == want and len(got) > len(want)
+    links = {}
+    for r in T.page_links(spark, sf).collect():
+        links.setdefault(r.doc_id, {})[r.place] = r.link
+    lines = {r.doc_id: len(re.split("\n|[.] ", r.text)) for r in docs.where("text is not null and url is not null").collect()}
+    sizes = {len(x) for x in links.values()}
+    # The page itself and /people, then links of the lines and sentences, six at most.
+    assert max(sizes) == 6 and len(sizes) >= 2 and all(sorted(x) == list(range(1, len(x) + 1)) for x in links.values())
+    assert all(len(links[i]) == 2 + min(n, 2) for i, n in lines.items() if n < 7)
