@@ -18,8 +18,8 @@ def letters(c: Column) -> Column:
 def source_name(c: Column) -> Column:
     """Evened-out source: one of SOURCES, else the letters as written, null stays null."""
     key = letters(c)
-    out = F.when(key == F.lit("googlescholar"), F.lit("google_scholar"))
-    return out.otherwise(F.when(key != "", key))
+    # Most rows are spelled plainly; only the others go through the pattern.
+    return F.when(c.isin(*SOURCES), c).when(key == "googlescholar", F.lit("google_scholar")).when(key != "", key)
 
 
 def rank_name(c: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymark.functions.text import source_trust
-from tallymark.operators.ranking import kth_values, with_ranks
+from tallymark.operators.ranking import kth_values, measure_ranks
 from tallymark.session import materialize, small_side
 
 #: Fewest members for a group to be ranked.
@@ -22,8 +22,8 @@ def current_appointments(appointments: DataFrame, departments: DataFrame) -> Dat
 def latest_readings(readings: DataFrame) -> DataFrame:
     """Readings of the latest moment of their person and source; all of them on a tie.
 
-    The moments fold in a grouped maximum before the join, so a person with very many readings
-    is one row on the small side and AQE can split the other.
+    The moments, numbers, fold in a hashed grouped maximum before the join, so a person with
+    very many readings is one row on the small side.
     """
     last = readings.where("source is not null and moment is not null").groupBy("person_id", "source").agg(F.max("moment").alias("moment"))
     return readings.join(last, ["person_id", "source", "moment"], "left_semi")
@@ -35,13 +35,20 @@ def held_readings(latest: DataFrame, people: DataFrame, source: str, id_column:
     return latest.where(F.col("source") == source).join(holders, "person_id", "left_semi")
 
 
-def headline(latest: DataFrame, people: DataFrame) -> DataFrame:
-    """One figure per person by source precedence, then latest moment, then greatest snapshot_id."""
-    other = latest.where(~F.col("source").isin("openalex", "google_scholar"))
-    pool = other.unionByName(held_readings(latest, people, "google_scholar", "google_scholar_id")).unionByName(held_readings(latest, people, "openalex", "openalex_author_id"))
-    order = F.struct(source_trust(F.col("source")).alias("t"), F.col("moment"), F.col("snapshot_id"))
-    best = pool.groupBy("person_id").agg(F.max_by(F.struct(*[c for c in pool.columns if c != "person_id"]), order).alias("r"))
-    return best.select("person_id", "r.*").withColumn("is_fallback", (F.col("source") != "google_scholar").cast("int"))
+def headline(readings: DataFrame, people: DataFrame) -> DataFrame:
+    """One figure per person by source precedence, then latest moment, then greatest snapshot_id.
+
+    Readings of the two profile sources count only for people who hold that source's
+    identifier. The latest reading of the most trusted source is the greatest of all by that
+    order, so one grouped maximum over the readings finds it.
+    """
+    holds = lambda c: F.col(c).isNotNull() & (F.col(c) != "")
+    held = people.select("person_id", holds("google_scholar_id").alias("_gs"), holds("openalex_author_id").alias("_oa"))
+    known = readings.where("source is not null and moment is not null").join(held, "person_id", "left")
+    counts = F.when(F.col("source") == "google_scholar", F.col("_gs")).when(F.col("source") == "openalex", F.col("_oa")).otherwise(F.lit(True))
+    rest = [c for c in readings.columns if c not in ("person_id", "moment", "snapshot_id")]
+    best = known.where(counts).groupBy("person_id").agg(F.max(F.struct(source_trust(F.col("source")).alias("_t"), "moment", "snapshot_id", *rest)).alias("r"))
+    return best.select("person_id", "r.*").drop("_t").withColumn("is_fallback", (F.col("source") != "google_scholar").cast("int"))
 
 
 def _years(df: DataFrame) -> DataFrame:
@@ -61,12 +68,16 @@ def ranked_people(current: DataFrame, departments: DataFrame, people: DataFrame,
 
 
 def percentiles(ranked: DataFrame) -> DataFrame:
-    """Percent ranks of citations and h-index, overall and within rank."""
-    rows = materialize(ranked, "ranked-people")
-    out = with_ranks(rows, "total_citations", {"percent_rank": "pct_citations_all", "rank_desc": "rank_by_citations"})
-    out = with_ranks(out, "total_citations", {"percent_rank": "pct_citations_rank"}, "rank_name")
-    out = with_ranks(out, "h_index", {"percent_rank": "pct_h_all", "rank_desc": "rank_by_h_index"})
-    return with_ranks(out, "h_index", {"percent_rank": "pct_h_rank"}, "rank_name").drop("phd_year")
+    """Percent ranks of citations and h-index, overall and within rank.
+
+    Both measures are ranked in one pass; each measure then joins back once by rank and value.
+    """
+    out = materialize(ranked, "ranked-people")
+    ranks = materialize(measure_ranks(out, "rank_name", ["total_citations", "h_index"]), "ranks")
+    for measure, short, place in (("total_citations", "citations", "rank_by_citations"), ("h_index", "h", "rank_by_h_index")):
+        of = ranks.where(F.col("_m") == measure).select("_g", "_v", F.col("pct_all").alias(f"pct_{short}_all"), F.col("desc_all").alias(place), F.col("pct_group").alias(f"pct_{short}_rank"))
+        out = out.join(of, F.col("rank_name").eqNullSafe(F.col("_g")) & F.col(measure).eqNullSafe(F.col("_v"))).drop("_g", "_v")
+    return out.drop("phd_year")
 
 
 def other_units(current: DataFrame, departments: DataFrame, people: DataFrame, heads: DataFrame) -> DataFrame:
@@ -85,10 +96,11 @@ def department_summary(ranked: DataFrame, departments: DataFrame) -> DataFrame:
 
     The median counts null figures as the lowest, as the mean of the middle two rows.
     """
-    mid = {"lo": "(n + 1) div 2", "hi": "(n + 2) div 2"}
-    middle = lambda c, name: kth_values(ranked, "department_id", c, mid).select(
-        "department_id", F.when(F.col("lo").isNull(), F.col("hi").cast("double")).when(F.col("hi").isNull(), F.col("lo").cast("double")).otherwise((F.col("lo") + F.col("hi")) / 2).alias(name)
-    )
+    ranked = materialize(ranked, "ranked-people")
+    medians = kth_values(ranked, "department_id", {m: {f"{m}_lo": "(n + 1) div 2", f"{m}_hi": "(n + 2) div 2"} for m in ("total_citations", "h_index")})
+    lo, hi = (lambda m: F.col(f"{m}_lo")), (lambda m: F.col(f"{m}_hi"))
+    middle = lambda m: F.when(lo(m).isNull(), hi(m).cast("double")).when(hi(m).isNull(), lo(m).cast("double")).otherwise((lo(m) + hi(m)) / 2)
+    medians = medians.select("department_id", middle("total_citations").alias("median_citations"), middle("h_index").alias("median_h_index"))
     sums = ranked.groupBy("department_id").agg(
         F.count(F.lit(1)).alias("n_faculty"),
         F.sum("total_citations").alias("total_citations"),
@@ -96,7 +108,7 @@ def department_summary(ranked: DataFrame, departments: DataFrame) -> DataFrame:
         F.avg("h_index").alias("mean_h_index"),
         F.avg((F.col("source") == "google_scholar").cast("double")).alias("share_with_scholar_profile"),
     )
-    out = sums.join(middle("total_citations", "median_citations"), "department_id").join(middle("h_index", "median_h_index"), "department_id")
+    out = sums.join(medians, "department_id")
     ranking = F.rank().over(Window.partitionBy(F.col("n_faculty") >= RANKED_FROM).orderBy(F.col("median_citations").desc_nulls_last()))
     # One row per department from here on.
     return (
@@ -111,6 +123,5 @@ def rank_benchmarks(current: DataFrame, heads: DataFrame) -> DataFrame:
     """Lower median and upper quartile of the most trusted source's figures by rank."""
     rows = heads.where("source = 'google_scholar' and total_citations is not null and h_index is not null").select("person_id", "total_citations", "h_index")
     rows = rows.join(current.where("kind = 'planning'").select("person_id", "rank_name"), "person_id")
-    c = kth_values(rows, "rank_name", "total_citations", {"median_citations": "(n + 1) div 2", "p75_citations": "(3 * n + 3) div 4"})
-    h = kth_values(rows, "rank_name", "h_index", {"median_h_index": "(n + 1) div 2"}).select(F.col("rank_name").alias("_r"), "median_h_index")
-    return c.join(h, F.col("rank_name").eqNullSafe(F.col("_r"))).drop("_r")
+    places = {"total_citations": {"median_citations": "(n + 1) div 2", "p75_citations": "(3 * n + 3) div 4"}, "h_index": {"median_h_index": "(n + 1) div 2"}}
+    return kth_values(rows, "rank_name", places)

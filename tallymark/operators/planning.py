@@ -43,9 +43,12 @@ def ordered_ids(own: DataFrame, accepted: DataFrame) -> DataFrame:
 
 
 def first_by_canonical(records: DataFrame, canonical: str, record: str) -> DataFrame:
-    """(record, kept): the smallest record of each canonical id, for every record."""
-    kept = F.min(record).over(Window.partitionBy(canonical))
-    return records.select(record, kept.alias("kept"))
+    """(record, kept): the smallest record of each canonical id, for every record; without a canonical id its own.
+
+    A grouped minimum and a join, so an id that very many records share is no window of one task.
+    """
+    kept = records.where(F.col(canonical).isNotNull()).groupBy(F.col(canonical).alias("_c")).agg(F.min(record).alias("kept"))
+    return records.join(kept, F.col(canonical) == F.col("_c"), "left").select(record, F.coalesce("kept", record).alias("kept"))
 
 
 def missing_readings(holders: DataFrame, seen: DataFrame) -> DataFrame:

@@ -346,7 +346,7 @@ ranked AS (SELECT m.person_id, m.rank_name, g.gain, row_number() OVER (PARTITION
 SELECT person_id, rank_name, gain, place FROM ranked WHERE place <= 5""")
 def rising_top5(spark: SparkSession, d: str) -> DataFrame:
     people, dep = table(spark, d, "person"), table(spark, d, "department")
-    ranked = M.ranked_people(_current(spark, d), dep, people, M.headline(M.latest_readings(readings(spark, d)), people)).select("person_id", "rank_name", "display_name", "total_citations").distinct()
+    ranked = M.ranked_people(_current(spark, d), dep, people, M.headline(readings(spark, d), people)).select("person_id", "rank_name", "display_name", "total_citations").distinct()
     read = F.to_date("collected_at")
     of = lambda y: F.get(F.filter("years", lambda e: e["year"] == y), 0)["n"]
     gains = _payloads(spark, d).withColumn("gain", V.yearly_gain(of(F.year(read)), of(F.year(read) - 1), read)).select("person_id", "gain")
@@ -358,7 +358,7 @@ def rising_top5(spark: SparkSession, d: str) -> DataFrame:
 @query("""SELECT person_id, CASE WHEN v <= s THEN s WHEN v <= 2 * s THEN 2 * s WHEN v <= 5 * s THEN 5 * s ELSE 10 * s END AS axis_top FROM (
   SELECT person_id, v, CAST(10 ** (length(CAST(v AS VARCHAR)) - 1) AS BIGINT) AS s FROM (SELECT person_id, greatest(coalesce(total_citations, 0), 1) AS v FROM heads))""")
 def axis_top(spark: SparkSession, d: str) -> DataFrame:
-    heads = M.headline(M.latest_readings(readings(spark, d)), table(spark, d, "person"))
+    heads = M.headline(readings(spark, d), table(spark, d, "person"))
     return heads.select("person_id", V.axis_top(F.col("total_citations")).alias("axis_top"))
 
 
@@ -371,7 +371,7 @@ def uniq_slugs(spark: SparkSession, d: str) -> DataFrame:
 @query("""SELECT person_id, p || CASE WHEN p % 100 BETWEEN 10 AND 20 THEN 'th' WHEN p % 10 = 1 THEN 'st' WHEN p % 10 = 2 THEN 'nd' WHEN p % 10 = 3 THEN 'rd' ELSE 'th' END AS standing FROM (
   SELECT person_id, CAST(round_even(100 * percent_rank() OVER (ORDER BY total_citations NULLS FIRST), 0) AS BIGINT) AS p FROM heads)""")
 def percentile_ordinals(spark: SparkSession, d: str) -> DataFrame:
-    heads = M.headline(M.latest_readings(readings(spark, d)), table(spark, d, "person")).select("person_id", "total_citations")
+    heads = M.headline(readings(spark, d), table(spark, d, "person")).select("person_id", "total_citations")
     return with_ranks(heads, "total_citations", {"percent_rank": "share"}).select("person_id", V.ordinal(F.col("share")).alias("standing"))
 
 
@@ -381,7 +381,7 @@ _INDEX = """, idx AS (SELECT 'p' || m.person_id AS "key", m.display_name AS name
 
 def _index(spark, d):
     people, dep = table(spark, d, "person"), table(spark, d, "department")
-    ranked = M.ranked_people(_current(spark, d), dep, people, M.headline(M.latest_readings(readings(spark, d)), people)).select("person_id", "display_name", "department", "total_citations").distinct()
+    ranked = M.ranked_people(_current(spark, d), dep, people, M.headline(readings(spark, d), people)).select("person_id", "display_name", "department", "total_citations").distinct()
     a = ranked.select(F.concat(F.lit("p"), F.col("person_id").cast("string")).alias("key"), F.col("display_name").alias("name"), F.col("department").alias("place_name"), F.col("total_citations").alias("weight"))
     b = dep.select(F.concat(F.lit("d"), F.col("department_id").cast("string")).alias("key"), F.col("short_name").alias("name"), F.col("university").alias("place_name"), F.lit(None).cast("bigint").alias("weight"))
     return a.unionByName(b)
@@ -415,7 +415,7 @@ def rank_bands(spark: SparkSession, d: str) -> DataFrame:
 def filtered_table(spark: SparkSession, d: str) -> DataFrame:
     """The first page of a filtered, sorted and renumbered table, blanks last."""
     people, dep = table(spark, d, "person"), table(spark, d, "department")
-    rows = M.ranked_people(_current(spark, d), dep, people, M.headline(M.latest_readings(readings(spark, d)), people)).where("rank_name = 'full'").select("person_id", "rank_name", "total_citations").distinct()
+    rows = M.ranked_people(_current(spark, d), dep, people, M.headline(readings(spark, d), people)).where("rank_name = 'full'").select("person_id", "rank_name", "total_citations").distinct()
     page = rows.orderBy(F.desc_nulls_last("total_citations"), "person_id").limit(100)
     return page.withColumn("place", F.row_number().over(Window.orderBy(F.desc_nulls_last("total_citations"), "person_id")).cast("bigint"))
 

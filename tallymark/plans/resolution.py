@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.functions.names import norm_name
@@ -259,5 +259,6 @@ FROM (SELECT *, CASE WHEN NOT isnan(name_sim) THEN name_sim END AS n, CASE WHEN
 def review_bands(spark: SparkSession, d: str) -> DataFrame:
     n, i = F.nanvl("name_sim", F.lit(None).cast("double")), F.nanvl("inst_match", F.lit(None).cast("double"))
     band = F.when((n < 0.8) | n.isNull(), "D").when((n >= 0.95) & (i >= 1), "A").when(i >= 1, "B").when(n >= 0.95, "C").otherwise("D")
-    best = F.first("candidate_id").over(Window.partitionBy("person_id").orderBy(F.coalesce("works_count", F.lit(0)).desc(), "candidate_id"))
-    return _records(spark, d).select("candidate_id", band.alias("band"), (F.col("candidate_id") == best).alias("is_best"))
+    rows = _records(spark, d)
+    best = rows.groupBy("person_id").agg(F.max_by("candidate_id", F.struct(F.coalesce("works_count", F.lit(0)), -F.col("candidate_id"))).alias("best"))
+    return rows.join(best, "person_id").select("candidate_id", band.alias("band"), (F.col("candidate_id") == F.col("best")).alias("is_best"))

@@ -93,15 +93,41 @@ def _stream(spark, d):
 
 @query("SELECT person_id, source, moment, snapshot_id, total_citations FROM (SELECT *, row_number() OVER (PARTITION BY person_id, source ORDER BY moment DESC, snapshot_id DESC) AS n FROM rd WHERE source IS NOT NULL AND moment IS NOT NULL) WHERE n = 1")
 def stream_latest_per_key(spark: SparkSession, d: str) -> DataFrame:
-    return S.run_to_end(S.latest_per_key(_stream(spark, d)), "latest", "complete")
+    return S.run_to_end(S.latest_per_key(_stream(spark, d)), "latest", ["person_id", "source"])
 
 
 @query("SELECT strftime(date_trunc('week', CAST(day AS DATE)), '%Y-%m-%d') AS week_start, source, count(*) AS n FROM rd WHERE source IS NOT NULL AND day IS NOT NULL GROUP BY 1, 2")
 def stream_weekly_counts(spark: SparkSession, d: str) -> DataFrame:
-    return S.run_to_end(S.weekly_counts(_stream(spark, d)), "weekly", "complete")
+    return S.run_to_end(S.weekly_counts(_stream(spark, d)), "weekly", ["week_start", "source"])
 
 
 @query("SELECT person_id, source, count(DISTINCT moment) AS n FROM rd WHERE day IS NOT NULL GROUP BY person_id, source")
 def stream_once_per_key(spark: SparkSession, d: str) -> DataFrame:
-    once = S.run_to_end(S.once_per_key(_stream(spark, d)), "once", "append")
+    once = S.run_to_end(S.once_per_key(_stream(spark, d)), "once")
     return once.groupBy("person_id", "source").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""SELECT person_id, moment, previous, total_citations FROM (SELECT person_id, moment, total_citations, lag(total_citations) OVER (PARTITION BY person_id ORDER BY moment, snapshot_id) AS previous FROM rd WHERE total_citations IS NOT NULL AND moment IS NOT NULL)
+WHERE previous > 0 AND total_citations <> 0 AND (previous - total_citations) / previous > 0.2e0""")
+def stream_previous_drops(spark: SparkSession, d: str) -> DataFrame:
+    return S.previous_reading_drops(_stream(spark, d))
+
+
+_SKIPPED = "coalesce(trigger, '') ILIKE '%manual%'"
+
+
+@query(f"""SELECT stream, reported, outcome, queued, last_searched, stalled_since, batches FROM (
+  WITH told AS (SELECT source AS stream, started_at AS t, run_id, coalesce(n_succeeded, 0) AS searched, n_attempted AS waiting, coalesce(n_failed, 0) AS empty,
+    CASE WHEN {_SKIPPED} THEN 'skipped' WHEN coalesce(n_succeeded, 0) > 0 THEN 'searched' WHEN n_attempted = 0 THEN 'idle' WHEN contains(coalesce(notes, ''), 'quota') THEN 'blocked' ELSE 'failed' END AS outcome FROM collection_run WHERE source IS NOT NULL AND started_at IS NOT NULL)
+  SELECT stream, strftime(max(t), '%Y-%m-%d') AS reported, arg_max(outcome, t) AS outcome, (arg_max(waiting - searched, t) FILTER (outcome <> 'skipped' AND waiting IS NOT NULL)) AS queued, CAST(max(CAST(t AS DATE)) FILTER (outcome = 'searched') AS VARCHAR) AS last_searched,
+    CAST((SELECT min(CAST(b.t AS DATE)) FROM told b WHERE b.stream = told.stream AND b.outcome IN ('blocked', 'failed') AND b.t > coalesce((SELECT max(c.t) FROM told c WHERE c.stream = told.stream AND c.outcome IN ('searched', 'idle')), TIMESTAMP '0001-01-01')) AS VARCHAR) AS stalled_since,
+    coalesce((SELECT string_agg(strftime(q.t, '%Y-%m-%d') || ':' || q.searched || ':' || q.empty || ':0', ';' ORDER BY q.t) FROM (SELECT *, row_number() OVER (PARTITION BY stream ORDER BY t DESC) AS i FROM told WHERE outcome = 'searched') q WHERE q.i <= 10 AND q.stream = told.stream), '') AS batches
+  FROM told GROUP BY stream)""")
+def run_status_fold(spark: SparkSession, d: str) -> DataFrame:
+    """The status of each source's runs, folded in time order: a run made by hand counts as skipped, failures as empty searches."""
+    runs = table(spark, d, "collection_run").where("source is not null and started_at is not null").select(
+        F.col("source").alias("stream"), F.col("started_at").alias("at"), F.col("n_succeeded").alias("searched"), F.col("n_attempted").alias("waiting"), F.coalesce("n_failed", F.lit(0)).alias("empty"), F.lit(0).alias("found"),
+        F.coalesce("notes", F.lit("")).contains("quota").alias("is_blocked"), F.lower(F.coalesce("trigger", F.lit(""))).contains("manual").alias("is_skipped"),
+    )
+    out = S.fold_status(runs)
+    return out.select("stream", F.date_format("reported", "yyyy-MM-dd").alias("reported"), "outcome", "queued", F.col("last_searched").cast("string").alias("last_searched"), F.col("stalled_since").cast("string").alias("stalled_since"), "batches")

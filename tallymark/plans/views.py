@@ -9,7 +9,7 @@ from tallymark.operators import metrics as M
 from tallymark.operators.ranking import value_ranks
 from tallymark.plans.base_sql import BASE
 from tallymark.session import table
-from tallymark.sources.standard import appointments, readings
+from tallymark.sources.standard import appointments, moment_text, readings
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -36,7 +36,7 @@ def _latest(spark, d, payload: bool = False):
 
 
 def _heads(spark, d):
-    return M.headline(_latest(spark, d), table(spark, d, "person"))
+    return M.headline(readings(spark, d), table(spark, d, "person"))
 
 
 def _ranked(spark, d):
@@ -122,7 +122,7 @@ def department_summary(spark: SparkSession, d: str) -> DataFrame:
 def person_timeseries(spark: SparkSession, d: str) -> DataFrame:
     cols = ["person_id", "display_name", "source", "moment", "total_citations", "h_index", "i10_index", "citations_5yr"]
     joined = readings(spark, d).join(table(spark, d, "person").select("person_id", "display_name"), "person_id")
-    return joined.select(*cols).orderBy("person_id", "source", "moment")
+    return joined.orderBy("person_id", "source", "moment").withColumn("moment", moment_text(F.col("moment"))).select(*cols)
 
 
 @query("""SELECT rank_name, count(*) AS n, quantile_disc(total_citations, 0.5) AS median_citations, quantile_disc(total_citations, 0.75) AS p75_citations, quantile_disc(h_index, 0.5) AS median_h_index

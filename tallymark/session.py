@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -70,11 +71,18 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Plan nodes whose work should not be done once to count a table and once more to join it.
+_WORK = re.compile(r"\b(?:Join|Aggregate|Window|Generate|Distinct|Deduplicate|RepartitionByExpression|MapInArrow|MapInPandas|FlatMapGroups\w*|ArrowEvalPython|Sort)\b")
+
+
 def small_side(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if it is counted to have at most ``most`` rows.
 
-    The count stops after ``most + 1`` rows. A larger side is returned without the
-    hint, and the join then shuffles.
+    A table that takes more than a scan to compute is written first, so it is computed once. The
+    count stops after ``most + 1`` rows. A larger side is returned without the hint, and the join
+    then shuffles.
     """
+    if _WORK.search(df._jdf.queryExecution().optimizedPlan().toString()):
+        df = materialize(df, "side")
     n = df.limit(most + 1).count()
     return F.broadcast(df) if n <= most else df

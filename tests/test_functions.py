@@ -46,6 +46,6 @@ def test_ranks_with_nulls_and_ties(spark):
     assert {(r.g, r.v, r.percent_rank, r.rank_desc) for r in value_ranks(df, "v", "g").collect()} == want
     whole = {tuple(r) for r in spark.sql("SELECT v, percent_rank() OVER (ORDER BY v NULLS FIRST) FROM t").collect()}
     assert {(r.v, r.percent_rank) for r in value_ranks(df, "v").collect()} == whole
-    mid = {r.g: r.m for r in kth_values(df, "g", "v", {"m": "(n + 1) div 2"}).collect()}
+    mid = {r.g: r.m for r in kth_values(df, "g", {"v": {"m": "(n + 1) div 2"}}).collect()}
     assert mid["a"] == 2 and mid["c"] is None
     assert value_ranks(df.limit(0), "v").count() == 0
