@@ -1,8 +1,8 @@
 """Continuous periods and gaps of overlapping intervals by dyadic blocks.
 
 Every interval of whole days is cut into canonical dyadic blocks, at most two per
-level. Equal blocks fold into one set per entity before the shuffle, so what one entity can
-send to a task is bounded by the calendar and not by its rows. Blocks inside a larger
+level. Equal intervals, then equal blocks, fold into one set per entity and task before the
+shuffle, so what one entity can send is bounded by the calendar and not by its rows. Blocks inside a larger
 block go, sibling pairs become their parent level by level, and what touches is
 joined into periods.
 """
@@ -22,24 +22,69 @@ LEVELS = 22
 EPOCH_SHIFT = 719_162
 
 
-def dyadic_blocks(first: Column, until: Column) -> Column:
-    """Canonical blocks of [first, until) as array<int> of tree nodes.
+def dyadic_nodes(first: np.ndarray, until: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Canonical blocks of many intervals [first, until) as (number of the interval, tree node).
 
-    At level k the remaining interval is [ceil(first / 2^k), floor(until / 2^k)); an odd
-    left end and an odd right end each give a block. Block i of level k is node
-    2^(LEVELS - k) + i, so the root is 1 and the parent of a node is its half.
+    Level by level the ends move inwards: an odd left end and an odd right end each give a
+    block, and both ends then halve. Block i of level k is node 2^(LEVELS - k) + i, so the
+    root is 1 and the parent of a node is its half.
     """
-
-    def at(k: Column) -> Column:
-        size = F.pow(F.lit(2.0), k)
-        base = F.pow(F.lit(2.0), F.lit(LEVELS) - k)
-        left = F.ceil(first / size)
-        right = F.floor(until / size)
+    left, right = first.astype(np.int64), until.astype(np.int64)
+    row = np.arange(len(left))
+    rows, nodes = [], []
+    for k in range(LEVELS + 1):
         some = left < right
-        ends = F.array(F.when(some & (left % 2 == 1), base + left), F.when(some & (right % 2 == 1), base + right - 1))
-        return F.transform(F.filter(ends, lambda b: b.isNotNull()), lambda b: b.cast("int"))
-
-    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(LEVELS)), at))
+        row, left, right = row[some], left[some], right[some]
+        if not len(row):
+            break
+        base = np.int64(1) << (LEVELS - k)
+        odd = (left & 1) == 1
+        rows.append(row[odd])
+        nodes.append(base + left[odd])
+        # An odd left end is gone by now, so a block of one is not given twice.
+        left = left + odd
+        odd = ((right & 1) == 1) & (left < right)
+        rows.append(row[odd])
+        nodes.append(base + right[odd] - 1)
+        left, right = left >> 1, right >> 1
+    none = np.empty(0, np.int64)
+    return np.concatenate(rows or [none]), np.concatenate(nodes or [none])
+
+
+#: Rows that a task keeps before it folds their blocks; equal intervals and blocks of a key leave it once.
+FOLD_ROWS = 500_000
+
+
+def _fold(key: np.ndarray, first: np.ndarray, until: np.ndarray) -> pa.RecordBatch:
+    """Distinct (key, node) of the intervals."""
+    # Equal intervals of a key fold first: both ends fit into 48 bits.
+    order = np.lexsort(((first << 24) | until, key))
+    key, first, until = key[order], first[order], until[order]
+    if len(key):
+        fresh = np.r_[True, (key[1:] != key[:-1]) | (first[1:] != first[:-1]) | (until[1:] != until[:-1])]
+        key, first, until = key[fresh], first[fresh], until[fresh]
+    row, node = dyadic_nodes(first, until)
+    key = key[row]
+    order = np.lexsort((node, key))
+    key, node = key[order], node[order]
+    if len(key):
+        fresh = np.r_[True, (key[1:] != key[:-1]) | (node[1:] != node[:-1])]
+        key, node = key[fresh], node[fresh]
+    return pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(node, pa.int32())], names=["k", "node"])
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of the intervals (k, a, b) of a task."""
+    held: list[np.ndarray] = []
+    n = 0
+    for batch in batches:
+        held.append(np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3)]))
+        n += batch.num_rows
+        if n >= FOLD_ROWS:
+            yield _fold(*np.concatenate(held, axis=1))
+            held, n = [], 0
+    if n:
+        yield _fold(*np.concatenate(held, axis=1))
 
 
 def merge_blocks(key: np.ndarray, level: np.ndarray, idx: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -102,15 +147,10 @@ def periods_and_gaps(df: DataFrame, key: str, first: Column, until: Column) -> D
     (key, span_kind 'period' | 'gap', first_day, until_day) with dates. An empty table
     gives an empty result; other columns of ``df`` play no part.
     """
-    days = lambda d: F.datediff(d, F.to_date(F.lit("1970-01-01"))).cast("long") + EPOCH_SHIFT
+    days = lambda d: (F.unix_date(d) + EPOCH_SHIFT).cast("int")
     # The set of a key's nodes is built before the shuffle; the calendar bounds it, whatever the number of rows.
-    blocks = (
-        df.select(F.col(key).cast("long").alias("k"), days(first).alias("a"), days(until).alias("b"))
-        .where(F.col("k").isNotNull() & (F.col("a") >= 0) & (F.col("b") > F.col("a")))
-        .select("k", F.explode(dyadic_blocks(F.col("a"), F.col("b"))).alias("node"))
-        .groupBy("k")
-        .agg(F.collect_set("node").alias("nodes"))
-    )
+    rows = df.select(F.col(key).cast("long").alias("k"), days(first).alias("a"), days(until).alias("b")).where(F.col("k").isNotNull() & (F.col("a") >= 0) & (F.col("b") > F.col("a")))
+    blocks = rows.mapInArrow(_blocks, "k bigint, node int").groupBy("k").agg(F.collect_set("node").alias("nodes"))
     spans = blocks.mapInArrow(lambda it: _spans(it, "k"), "k bigint, span_kind string, first_n bigint, until_n bigint")
     as_date = lambda n: F.date_add(F.to_date(F.lit("1970-01-01")), F.col(n).cast("int"))
     return spans.select(F.col("k").alias(key), "span_kind", as_date("first_n").alias("first_day"), as_date("until_n").alias("until_day"))
