@@ -86,3 +86,23 @@ def small_side(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
         df = materialize(df, "side")
     n = df.limit(most + 1).count()
     return F.broadcast(df) if n <= most else df
+
+
+#: A key with more than this share of all rows counts as hot; fewer than one in its inverse can be.
+HOT_SHARE = 0.001
+
+
+def spread_join(df: DataFrame, side: DataFrame, key: str, n: str) -> DataFrame:
+    """``df`` left-joined with ``side``, which has one row per ``key`` and the number of df's rows of that key in ``n``.
+
+    Keys with more than a thousandth of all rows, fewer than a thousand of them whatever the
+    data, join by broadcast, so their rows stay where they are; the others join by shuffle.
+    ``side`` should be a written table. A null key joins nothing. The column ``n`` is dropped.
+    """
+    total = side.agg(F.coalesce(F.sum(n), F.lit(0))).first()[0]
+    hot = side.where(F.col(n) > total * HOT_SHARE)
+    if not total or hot.isEmpty():
+        return df.join(side.drop(n), key, "left")
+    marked = df.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left").drop(n)
+    rest = marked.where("_hot is null").select(*df.columns).join(side.where(F.col(n) <= total * HOT_SHARE).drop(n), key, "left")
+    return marked.where("_hot").drop("_hot").unionByName(rest)
