@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallymark.functions.text import rank_name, source_name, source_trust, usable, written_day, written_millis
 from tallymark.llm.digest import certified, digests, estimates, exact_medians, merge
 from tallymark.llm.linkage import institution_parts, link, name_forms
-from tallymark.llm.lookalike import LIGATURES, RULES, lookalike_classes, lookalike_pairs, unified
+from tallymark.llm.lookalike import lookalike_classes, lookalike_pairs, unified
 from tallymark.llm.mixing import Target, mix, shares
 from tallymark.llm.packing import pack
 from tallymark.llm.survivor import Bundle, Dependency, survivors
@@ -248,17 +248,23 @@ r AS (SELECT snapshot_id, person_id, {_SOURCE.format(c="source")} AS source_name
 l AS (SELECT *, rank() OVER (PARTITION BY person_id, source_name ORDER BY day DESC) AS k FROM r WHERE source_name IS NOT NULL AND day IS NOT NULL),
 rows AS (SELECT snapshot_id, source_name, rank_name, 'total_citations' AS metric_name, total_citations AS figure FROM l JOIN cur USING (person_id) WHERE k = 1 AND total_citations >= 0
   UNION ALL SELECT snapshot_id, source_name, rank_name, 'h_index', h_index FROM l JOIN cur USING (person_id) WHERE k = 1 AND h_index >= 0)"""
-_QUOTED = lambda t: "'" + t.replace("'", "''") + "'"
-_SHOWN = "regexp_replace(text, '[\\p{Cf}\\x{FE00}-\\x{FE0F}\\x00-\\x08\\x0E-\\x1F\\x7F-\\x84\\x86-\\x9F]', '', 'g')"
-for _a, _b in LIGATURES.items():
-    _SHOWN = f"replace({_SHOWN}, '{_a}', '{_b}')"
-_SHOWN = f"nfc_normalize(translate(nfc_normalize({_SHOWN}), {_QUOTED(''.join(RULES))}, {_QUOTED(''.join(RULES.values()))}))"
+# What a reader sees of a text, written for itself: not from the operator's tables.
+_SHOWN = "regexp_replace(text, '[\\x{AD}\\x{200B}-\\x{200F}\\x{2060}-\\x{2064}\\x{FEFF}\\x{FE00}-\\x{FE0F}\\x00-\\x08\\x0E-\\x1F\\x7F-\\x84\\x86-\\x9F]', '', 'g')"
+_SHOWN = f"replace(replace(replace(replace(replace({_SHOWN}, 'ﬃ', 'ffi'), 'ﬄ', 'ffl'), 'ﬁ', 'fi'), 'ﬂ', 'fl'), 'ﬀ', 'ff')"
+_WIDE = "array_to_string(list_transform(range(33, 127), lambda i: chr(CAST(i + {shift} AS INTEGER))), '')"
+_SHOWN = f"translate(nfc_normalize({_SHOWN}), {_WIDE.format(shift=65248)}, {_WIDE.format(shift=0)})"
+_SHOWN = f"regexp_replace({_SHOWN}, '[\\x{{A0}}\\x{{2000}}-\\x{{200A}}\\x{{202F}}\\x{{205F}}\\x{{3000}}]', ' ', 'g')"
+_SHOWN = f"translate({_SHOWN}, '‐‑АаВЕеѕЅІіЈјКМНОоРрСсТХхуёЁїЇѐЀΑΒΕΖΗΙΚΜΝΟΡΤΥΧοόΆΈΊΌΎΪΫ', '--AaBEesSIiJjKMHOoPpCcTXxyëËïÏèÈABEZHIKMNOPTYXoóÁÉÍÓÝÏŸ')"
+_SHOWN = f"nfc_normalize({_SHOWN})"
 _LOOKS = f"WITH shown AS (SELECT doc_id, text, md5({_SHOWN}) AS look FROM documents WHERE text IS NOT NULL)"
+_CLASSES = _LOOKS + """, classed AS (SELECT doc_id, text, min(doc_id) OVER (PARTITION BY look) AS class_id,
+  first_value(canon) OVER (PARTITION BY look ORDER BY plain DESC, canon) AS canonical_id FROM (SELECT *, min(doc_id) OVER (PARTITION BY look, text) AS canon, CASE WHEN md5(text) = look THEN 1 ELSE 0 END AS plain FROM shown))"""
 ORACLE = {
     "p10_found": _LOOKS + " SELECT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM shown a JOIN shown b ON a.look = b.look AND a.doc_id < b.doc_id AND a.text <> b.text",
-    "p10_classes": _LOOKS
-    + """ SELECT doc_id, min(doc_id) OVER (PARTITION BY look) AS class_id,
-  first_value(canon) OVER (PARTITION BY look ORDER BY plain DESC, canon) AS canonical_id FROM (SELECT *, min(doc_id) OVER (PARTITION BY look, text) AS canon, CASE WHEN md5(text) = look THEN 1 ELSE 0 END AS plain FROM shown)""",
+    "p10_classes": _CLASSES + " SELECT doc_id, class_id, canonical_id FROM classed",
+    "p10_unified": _CLASSES
+    + """ SELECT d.doc_id, c.class_id, c.canonical_id, k.text IS DISTINCT FROM d.text AS is_changed, k.text
+FROM documents d LEFT JOIN classed c USING (doc_id) LEFT JOIN documents k ON k.doc_id = c.canonical_id""",
     "p1_found": _PICKED + " SELECT person_id, reading_day, metric_name, snapshot_id FROM picked WHERE rn = 1",
     "p1_records": _PICKED
     + f""", sure AS (SELECT DISTINCT person_id, reading_day FROM sized WHERE n > 1)

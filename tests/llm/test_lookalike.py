@@ -10,6 +10,19 @@ SAME = [
     ["ạ̇", "ạ̇"],
     ["room １２", "room 12", "room 12"],
     ["x" * 30000 + "a", "x" * 30000 + "а"],
+    # Joiners, selectors and tags that show nothing where they stand; forms drawn just like others.
+    ["zero width", "zero\u200d wid\u200cth", "zero\u2060 wi\ufe0fdth", "\u200ezero width\u200f", "zero wid\U000e0061th", "zero\u2800width", "ze\U0001d5cbo width", "zero wi\u0501th"],
+    ["King IV", "King \u2163", "Kin\u0261 IV".replace("\u0261", "g\u200b")],
+    ["dž", "\u01c6"],
+]
+# Visible differences made by characters of the same kinds.
+SEEN = [
+    "\U0001f468\u200d\U0001f469\u200d\U0001f466", "\U0001f468\U0001f469\U0001f466",  # a joined family and its members
+    "\U0001f3f4\U000e0067\U000e0062\U000e0073\U000e0063\U000e0074\U000e007f", "\U0001f3f4",  # a flag spelt with tags and a plain one
+    "\u0645\u06cc\u200c\u062e\u0648\u0627\u0647\u0645", "\u0645\u06cc\u062e\u0648\u0627\u0647\u0645",  # a non-joiner that changes letter shapes
+    "\u0600\u0661", "\u0661",  # a visible number sign
+    "\u0915\u094d\u200d\u0937", "\u0915\u094d\u0937",  # a joiner that keeps letters apart
+    "\u2764\ufe0f", "\u2764", "\U0001d400", "A", "A\u202eB", "AB",
 ]
 APART = ["x2", "x²", "1/2", "½", "cafe", "CAFE", "Cafe", "и", "й", "a b", "a  b", "a\nb", "resume", "résumé", "", " ", "o", "0", "l", "1", "ß", "ss", "æ", "ae", "…", "..."]
 
@@ -26,7 +39,7 @@ def test_pairs(spark):
         want |= {(a, b) for a in ids for b in ids if a < b}
         texts += group
         n += len(group)
-    texts += APART + [None, None]
+    texts += APART + SEEN + [None, None]
     got = {tuple(x) for x in lookalike_pairs(frame(spark, texts), "doc_id", "text").collect()}
     assert got == want, [(texts[a], texts[b]) for a, b in got ^ want]
 
