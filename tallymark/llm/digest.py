@@ -21,11 +21,13 @@ from tallymark.session import materialize, small_side
 
 #: Default compression: a digest has at most about this many centroids.
 COMPRESSION = 200
-#: Digests that one task merges at most; more go through another level of the merge tree.
+#: Bound of the rank error, as a share of n, that the counting pass has to confirm for every estimate at the default compression.
+RANK_ERROR = 0.02
+#: Digests that one task merges, about; more go through another level of the merge tree.
 FAN_IN = 256
 #: Groups whose buffers a task keeps before it hands on what it has.
 GROUPS_HELD = 5_000
-#: Distinct values of a bracket that one task ranks.
+#: Distinct values of a bracket that one task ranks; more are ranked by ranges of values.
 CELLS_HELD = 1_000_000
 DIGEST_TYPE = "struct<means: array<double>, weights: array<double>, lows: array<double>, highs: array<double>>"
 
@@ -133,23 +135,23 @@ def digests(df: DataFrame, groups: list[str], value: Column, compression: float
 def merge(parts: DataFrame, groups: list[str], compression: float = COMPRESSION) -> DataFrame:
     """One digest per group out of digests of partitions, days or slices.
 
-    Works as a tree: the digests of a group are spread over buckets of at most about FAN_IN,
-    merged there, and merged again.
+    Works as a tree over the counted digests: while a group has more than FAN_IN, its digests
+    are spread over buckets of about FAN_IN, each bucket is merged, and the next level starts.
     """
     own = [f"_g{i}" for i in range(len(groups))]
 
     def run(key, parts):
-        # At most about FAN_IN digests: one per partition that the bucket holds.
         made = combine([_read(d) for d in parts.column("digest").to_pylist()], compression)
         return pa.Table.from_batches([_digest_batch([tuple(k.as_py() for k in key[: len(own)])], [made], own)])
 
     schema = ", ".join(f"{n} string" for n in own) + (", " if own else "") + f"digest {DIGEST_TYPE}"
-    level = parts.select(*[F.col(g).cast("string").alias(n) for g, n in zip(groups, own)], "digest")
-    # The bucket count is set by the number of partitions that made the digests: one digest per partition and group.
-    buckets = -(-parts.rdd.getNumPartitions() // FAN_IN)
-    if buckets > 1:
-        level = level.withColumn("_b", F.pmod(F.xxhash64(F.col("digest.means"), F.monotonically_increasing_id()), F.lit(buckets)).cast("string"))
-        level = level.groupBy(*own, "_b").applyInArrow(run, schema)
+    level = materialize(parts.select(*[F.col(g).cast("string").alias(n) for g, n in zip(groups, own)], "digest"), "digests")
+    most = level.groupBy(*own).count().agg(F.max("count")).first()[0] or 0
+    while most > FAN_IN:
+        buckets = -(-most // FAN_IN)
+        level = level.withColumn("_b", F.pmod(F.xxhash64("digest.means", "digest.weights", F.monotonically_increasing_id()), F.lit(buckets)).cast("string"))
+        level = materialize(level.groupBy(*own, "_b").applyInArrow(run, schema), "digests")
+        most = buckets
     level = level.groupBy(*own, *([] if own else [F.lit("").alias("_all")])).applyInArrow(run, schema)
     return level.select(*[F.col(n).alias(g) for n, g in zip(own, groups)], "digest")
 
@@ -198,54 +200,78 @@ def certified(df: DataFrame, groups: list[str], value: Column, estimated: DataFr
     return counts.withColumn("rank_error", error)
 
 
-def exact_medians(df: DataFrame, groups: list[str], value: Column, compression: float = COMPRESSION) -> DataFrame:
-    """(groups, median, n): the median of each group, the mean of the middle two for an even count.
+def exact_ranks(df: DataFrame, groups: list[str], value: Column, ranks: dict[float, list[str]], compression: float = COMPRESSION) -> DataFrame:
+    """(groups, quantile, n, values): exact values at ranks near quantiles, counted from 1 in ascending order.
 
-    The digest gives a bracket of values around the middle. The counting pass counts what lies
-    below the bracket and keeps the distinct values inside with their counts; it certifies that
-    the middle ranks fall inside. A group whose bracket misses them is counted over its whole
-    range. So the digest decides where to look and the counts decide the value.
+    ``ranks`` maps a quantile to SQL expressions of ``n``. The digest gives a bracket of values
+    around each quantile. The counting pass counts what lies below the bracket and keeps the
+    distinct values inside with their counts, in their own type; it certifies that the ranks
+    fall inside. A group whose bracket misses them is counted over its whole range. So the
+    digest decides where to look and the counts decide the value. Nulls and NaNs are left out.
     """
     made = merge(digests(df, groups, value, compression), groups, compression)
     # Half a bracket of two percent of the ranks: several times what one centroid may span at this compression.
     half = 4.0 / compression
-    est = estimates(made, groups, [max(0.0, 0.5 - half), min(1.0, 0.5 + half)])
+    wanted = sorted(ranks)
+    est = materialize(estimates(made, groups, sorted({e for q in wanted for e in (max(0.0, q - half), min(1.0, q + half))})), "brackets")
     side = [f"_e{i}" for i in range(len(groups))]
-    bracket = est.groupBy(*[F.col(g).alias(e) for g, e in zip(groups, side)]).agg(F.min("estimate").alias("_lo"), F.max("estimate").alias("_hi"), F.max("n").alias("_n"))
-    rows = df.select(*[F.col(g).cast("string").alias(g) for g in groups], value.cast("double").alias("_v")).where("_v is not null and not isnan(_v)")
+    at = lambda e: F.max(F.when(F.col("quantile") == e, F.col("estimate")))
+    bounds = F.array(*[F.struct(F.lit(q).alias("q"), at(max(0.0, q - half)).alias("lo"), at(min(1.0, q + half)).alias("hi")) for q in wanted])
+    bracket = small_side(est.groupBy(*[F.col(g).alias(e) for g, e in zip(groups, side)]).agg(bounds.alias("_qs"), F.max("n").alias("n")))
+    rows = df.select(*[F.col(g).cast("string").alias(g) for g in groups], value.alias("_v")).where("_v is not null and not isnan(cast(_v as double))")
     on = F.lit(True)
     for g, e in zip(groups, side):
         on = on & F.col(g).eqNullSafe(F.col(e))
-    bracket = small_side(bracket)
 
-    def middle(bounds: DataFrame, whole: bool) -> DataFrame:
-        inside = F.lit(True) if whole else (F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))
-        below = F.lit(False) if whole else F.col("_v") < F.col("_lo")
-        # Values outside fold into one cell per side, so what is shuffled is the distinct values of the bracket.
+    def found(bounds: DataFrame, whole: bool) -> DataFrame:
+        v = F.col("_v").cast("double")
+        # 0 inside, -1 and 1 beside the bracket: values outside fold into one cell per side.
+        where = F.lit(0) if whole else F.when(v < F.col("_q.lo"), -1).when(v > F.col("_q.hi"), 1).otherwise(0)
         cells = (
             rows.join(bounds, on)
-            .withColumn("_x", F.when(inside, F.col("_v")).when(below, F.lit(float("-inf"))).otherwise(F.lit(float("inf"))))
-            .groupBy(*groups, "_n", "_x")
+            .select(*groups, "n", "_v", F.explode("_qs").alias("_q"))
+            .select(*groups, "n", F.col("_q.q").alias("quantile"), where.alias("_s"), "_v")
+            .groupBy(*groups, "n", "quantile", "_s", F.when(F.col("_s") == 0, F.col("_v")).alias("_x"))
             .agg(F.count(F.lit(1)).alias("_c"))
         )
-        cells = materialize(cells, "median-cells")
-        most = cells.groupBy(*groups).count().agg(F.max("count")).first()[0]
+        cells = materialize(cells, "rank-cells")
+        most = cells.groupBy(*groups, "quantile").count().agg(F.max("count")).first()[0]
         if (most or 0) <= CELLS_HELD:
-            upto = Window.partitionBy(*groups).orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
+            upto = Window.partitionBy(*groups, "quantile").orderBy("_s", "_x").rowsBetween(Window.unboundedPreceding, 0)
             ranked = cells.withColumn("_r", F.sum("_c").over(upto))
         else:
             # Very many distinct values in one bracket: counted by ranges of values, so no task holds them all.
-            key = F.to_json(F.struct(*[F.coalesce(F.col(g), F.lit("\u0000")).alias(g) for g in groups]))
-            counted = ranked_cells(cells.select(key.alias("_g"), F.col("_x").alias("_v"), "_c")).select(F.col("_g").alias("_cg"), "_v", "_upto")
-            ranked = cells.join(counted, (F.col("_x") == F.col("_v")) & (key == F.col("_cg"))).select(*groups, "_n", "_x", "_c", F.col("_upto").alias("_r"))
-        lower, upper = F.expr("(_n + 1) div 2"), F.expr("_n div 2 + 1")
-        holds = lambda k: (F.col("_r") >= k) & (F.col("_r") - F.col("_c") < k)
-        return ranked.groupBy(*groups).agg(F.max(F.when(holds(lower), F.col("_x"))).alias("_a"), F.max(F.when(holds(upper), F.col("_x"))).alias("_b"), F.max("_n").alias("n"))
-
-    inf = float("inf")
-    got = middle(bracket, False)
-    sure = got.where((F.col("_a") > -inf) & (F.col("_b") < inf))
-    missed = got.where(~((F.col("_a") > -inf) & (F.col("_b") < inf)))
-    again = bracket.join(missed.select(*[F.col(g).alias(f"_m{i}") for i, g in enumerate(groups)]), [F.col(e).eqNullSafe(F.col(f"_m{i}")) for i, e in enumerate(side)], "left_semi")
-    both = sure if missed.isEmpty() else sure.unionByName(middle(small_side(again), True))
-    return both.select(*groups, ((F.col("_a") + F.col("_b")) / 2).alias("median"), "n")
+            key = F.to_json(F.struct(*[F.coalesce(F.col(g), F.lit("\u0000")).alias(g) for g in groups], "quantile"))
+            place = F.struct("_s", "_x")
+            counted = ranked_cells(cells.select(key.alias("_g"), place.alias("_v"), "_c")).select(F.col("_g").alias("_cg"), "_v", "_upto")
+            ranked = cells.join(counted, (place == F.col("_v")) & (key == F.col("_cg"))).select(*groups, "n", "quantile", "_s", "_x", "_c", F.col("_upto").alias("_r"))
+        picks = []
+        for q, expressions in ranks.items():
+            picks.append((q, [F.max(F.when((F.col("_s") == 0) & (F.col("_r") >= F.expr(e)) & (F.col("_r") - F.col("_c") < F.expr(e)), F.col("_x"))) for e in expressions]))
+        chosen = None
+        for q, columns in picks:
+            one = F.array(*columns)
+            chosen = F.when(F.col("quantile") == q, one) if chosen is None else chosen.when(F.col("quantile") == q, one)
+        return ranked.groupBy(*groups, "quantile", "n").agg(chosen.alias("values"))
+
+    got = materialize(found(bracket, False), "ranks")
+    bad = F.exists("values", lambda x: x.isNull())
+    missed = got.where(bad).select(*[F.col(g).alias(f"_m{i}") for i, g in enumerate(groups)]).distinct()
+    if missed.isEmpty():
+        return got.select(*groups, "quantile", "n", "values")
+    missed = small_side(missed)
+    again = found(small_side(bracket.join(missed, [F.col(e).eqNullSafe(F.col(f"_m{i}")) for i, e in enumerate(side)], "left_semi")), True)
+    sure = got.join(missed, [F.col(g).eqNullSafe(F.col(f"_m{i}")) for i, g in enumerate(groups)], "left_anti")
+    return sure.unionByName(again).select(*groups, "quantile", "n", "values")
+
+
+def exact_medians(df: DataFrame, groups: list[str], value: Column, compression: float = COMPRESSION) -> DataFrame:
+    """(groups, median, n): the exact median of each group, the mean of the middle two for an even count."""
+    middle = exact_ranks(df, groups, value, {0.5: ["(n + 1) div 2", "n div 2 + 1"]}, compression)
+    return middle.select(*groups, ((F.col("values")[0].cast("double") + F.col("values")[1].cast("double")) / 2).alias("median"), "n")
+
+
+def exact_percentiles(df: DataFrame, groups: list[str], value: Column, quantiles: list[float], compression: float = COMPRESSION) -> DataFrame:
+    """(groups, quantile, n, percentile): the exact value at rank ceil(quantile * n), at least 1."""
+    out = exact_ranks(df, groups, value, {q: [f"greatest(1, ceil({q!r}D * n))"] for q in quantiles}, compression)
+    return out.select(*groups, "quantile", "n", F.col("values")[0].alias("percentile"))

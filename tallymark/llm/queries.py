@@ -6,29 +6,40 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.functions.text import rank_name, source_name, source_trust, usable, written_day, written_millis
-from tallymark.llm.digest import certified, digests, estimates, exact_medians, merge
+from tallymark.llm.digest import RANK_ERROR, certified, digests, estimates, exact_medians, exact_percentiles, merge
 from tallymark.llm.linkage import institution_parts, link, name_forms
 from tallymark.llm.lookalike import lookalike_classes, lookalike_pairs, unified
 from tallymark.llm.mixing import Target, mix, shares
 from tallymark.llm.packing import pack
 from tallymark.llm.survivor import Bundle, Dependency, survivors
 from tallymark.llm.tokens import VOCABULARY, with_token_counts
-from tallymark.session import materialize, table
+from tallymark.session import materialize, small_side, table
 
 # ---------------------------------------------------------------- problem 1
 FIGURES = ("total_citations", "h_index", "works_count")
 
 
+FIVE_YEAR = ("citations_5yr", "h_index_5yr")
+
+
 def _readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = F.col("collected_at")
     return table(spark, sf_dir, "metric_snapshot").select(
-        "snapshot_id", "person_id", source_name(F.col("source")).alias("source_even"), written_day(at).alias("reading_day"), written_millis(at).alias("millis"), *[usable(F.col(f)).alias(f) for f in FIGURES]
+        "snapshot_id", "person_id", source_name(F.col("source")).alias("source_even"), written_day(at).alias("reading_day"), written_millis(at).alias("millis"), *[usable(F.col(f)).alias(f) for f in (*FIGURES, *FIVE_YEAR)]
     )
 
 
-def _best(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bundles = [Bundle(f"best_{f}", (f, "source_even", "millis"), F.col(f).isNotNull()) for f in FIGURES]
-    rules = [Dependency(("snapshot_id",), ("source_even", "millis"))]
+def _best(spark: SparkSession, sf_dir: str, with_fields: bool) -> DataFrame:
+    """The surviving record of each person and day.
+
+    The three figures come each from its best reading. The five-year figures are a bundle of a
+    lower claim: if they come from the source of the total, then from its moment too, for a
+    source's reading of another moment does not go with it. Where that breaks, the search branches.
+    """
+    own = lambda *f: (*f, "source_even") if with_fields else ()
+    bundles = [Bundle(f"best_{f}", own(f), F.col(f).isNotNull()) for f in FIGURES]
+    bundles.append(Bundle("best_five_year", own(*FIVE_YEAR), F.col(FIVE_YEAR[0]).isNotNull() | F.col(FIVE_YEAR[1]).isNotNull(), tier=1))
+    rules = [Dependency(("source_even",), ("millis",), among=("best_total_citations", "best_five_year"))]
     trust = [source_trust(F.col("source_even")), F.col("millis")]
     return survivors(_readings(spark, sf_dir), ["person_id", "reading_day"], "snapshot_id", trust, bundles, rules)
 
@@ -36,7 +47,7 @@ def _best(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     each = F.array(*[F.struct(F.lit(f).alias("metric_name"), F.col(f"best_{f}.snapshot_id").alias("snapshot_id")) for f in FIGURES])
     return (
-        _best(spark, sf_dir)
+        _best(spark, sf_dir, False)
         .select("person_id", "reading_day", F.explode(each).alias("e"))
         .select("person_id", "reading_day", F.col("e.metric_name").alias("metric_name"), F.col("e.snapshot_id").alias("snapshot_id"))
         .where(F.col("snapshot_id").isNotNull())
@@ -44,14 +55,15 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p1_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The surviving record of each group with the source of each figure."""
-    return _best(spark, sf_dir).select(
-        "person_id", "reading_day", *[F.col(f"best_{f}.{f}").alias(f) for f in FIGURES], *[F.col(f"best_{f}.source_even").alias(f"{f}_source") for f in FIGURES]
+    """The surviving record of each group with the source of each bundle, and whether its search branched."""
+    best = lambda b, f: F.col(f"best_{b}.{f}")
+    return _best(spark, sf_dir, True).select(
+        "person_id", "reading_day", *[best(f, f).alias(f) for f in FIGURES], *[best("five_year", f).alias(f) for f in FIVE_YEAR], *[best(f, "source_even").alias(f"{f}_source") for f in (*FIGURES, "five_year")], "branched"
     )
 
 
 def p1_consistent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Survivors in which one source gives one h-index: source fixes h_index among the chosen records."""
+    """Survivors in which one source gives one h-index and one total: source fixes both among the chosen records."""
     bundles = [Bundle(f"best_{f}", (f, "source_even"), F.col(f).isNotNull()) for f in FIGURES]
     trust = [source_trust(F.col("source_even")), F.col("millis")]
     out = survivors(_readings(spark, sf_dir), ["person_id", "reading_day"], "snapshot_id", trust, bundles, [Dependency(("source_even",), ("h_index", "total_citations"))])
@@ -97,19 +109,29 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = materialize(_latest_readings(spark, sf_dir), "latest")
     medians = exact_medians(rows, GROUPS, F.col("figure"))
     # Fixed value: a figure is far out beyond 25 times the median.
-    return rows.join(F.broadcast(medians), GROUPS).where(F.col("figure") > 25 * F.col("median")).select("metric_name", "snapshot_id")
+    return rows.join(small_side(medians), GROUPS).where(F.col("figure") > 25 * F.col("median")).select("metric_name", "snapshot_id")
 
 
 QUANTILES = [0.1, 0.25, 0.5, 0.75, 0.9, 0.99]
 
 
-def p2_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Percentiles per measure, source and rank, each with the error bound that the second pass proved."""
-    rows = materialize(_latest_readings(spark, sf_dir), "latest")
+def _estimates(rows: DataFrame) -> DataFrame:
     est = materialize(estimates(merge(digests(rows, GROUPS, F.col("figure")), GROUPS), GROUPS, QUANTILES), "estimates")
     return certified(rows, GROUPS, F.col("figure"), est)
 
 
+def p2_estimates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digest estimates per measure, source and rank, each with the rank error that the second pass counted."""
+    return _estimates(materialize(_latest_readings(spark, sf_dir), "latest"))
+
+
+def p2_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact percentiles, and whether the estimate from the digest kept the stated error bound."""
+    rows = materialize(_latest_readings(spark, sf_dir), "latest")
+    sure = _estimates(rows).select(*GROUPS, "quantile", (F.col("rank_error") <= RANK_ERROR).alias("within_bound"))
+    return exact_percentiles(rows, GROUPS, F.col("figure"), QUANTILES).join(small_side(sure), [*GROUPS, "quantile"])
+
+
 def p2_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of separate months merged to the whole: the combined estimates with their proven error."""
     rows = materialize(_latest_readings(spark, sf_dir).withColumn("month", F.date_format("day", "yyyy-MM")), "latest")
@@ -226,14 +248,14 @@ def p10_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unified(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_records, p1_consistent, p2_found, p2_percentiles, p2_by_month, p7_found, p7_confidence, p8_containers, p8_fill, p9_mixture, p9_shares, p10_found, p10_classes, p10_unified)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_records, p1_consistent, p2_found, p2_percentiles, p2_estimates, p2_by_month, p7_found, p7_confidence, p8_containers, p8_fill, p9_mixture, p9_shares, p10_found, p10_classes, p10_unified)}
 
 _SOURCE = "CASE regexp_replace(lower({c}), '[^a-z]', '', 'g') WHEN 'googlescholar' THEN 'google_scholar' WHEN '' THEN NULL ELSE regexp_replace(lower({c}), '[^a-z]', '', 'g') END"
 _DAY = "CASE WHEN substr(trim({c}), 5, 1) = '-' THEN substr(trim({c}), 1, 10) ELSE substr(trim({c}), 1, 4) || '-' || substr(trim({c}), 5, 2) || '-' || substr(trim({c}), 7, 2) END"
 _TIME = "rpad(regexp_replace(CASE WHEN substr(trim({c}), 5, 1) = '-' THEN substr(trim({c}), 11) ELSE substr(trim({c}), 9) END, '[^0-9]', '', 'g'), 9, '0')"
 _READINGS = f"""readings AS (
   SELECT snapshot_id, person_id, {_SOURCE.format(c="source")} AS source_even, {_DAY.format(c="collected_at")} AS reading_day, {_TIME.format(c="collected_at")} AS tod,
-    {", ".join(f"CASE WHEN {f} >= 0 THEN {f} END AS {f}" for f in FIGURES)}
+    {", ".join(f"CASE WHEN {f} >= 0 THEN {f} END AS {f}" for f in (*FIGURES, *FIVE_YEAR))}
   FROM metric_snapshot WHERE collected_at IS NOT NULL),
 sized AS (SELECT *, count(*) OVER (PARTITION BY person_id, reading_day) AS n,
   CASE source_even WHEN 'google_scholar' THEN 4 WHEN 'openalex' THEN 3 WHEN 'pop' THEN 2 WHEN 'manual' THEN 1 ELSE 0 END AS trust FROM readings)"""
@@ -267,9 +289,33 @@ ORACLE = {
 FROM documents d LEFT JOIN classed c USING (doc_id) LEFT JOIN documents k ON k.doc_id = c.canonical_id""",
     "p1_found": _PICKED + " SELECT person_id, reading_day, metric_name, snapshot_id FROM picked WHERE rn = 1",
     "p1_records": _PICKED
-    + f""", sure AS (SELECT DISTINCT person_id, reading_day FROM sized WHERE n > 1)
-SELECT s.person_id, s.reading_day, {", ".join(f"max(CASE WHEN metric_name = '{f}' THEN figure END) AS {f}, max(CASE WHEN metric_name = '{f}' THEN source_even END) AS {f}_source" for f in FIGURES)}
-FROM sure s LEFT JOIN picked p ON p.person_id = s.person_id AND p.reading_day = s.reading_day AND p.rn = 1 GROUP BY s.person_id, s.reading_day""",
+    + f""", sure AS (SELECT DISTINCT person_id, reading_day FROM sized WHERE n > 1),
+total AS (SELECT s.person_id, s.reading_day, s.source_even, s.tod FROM picked p JOIN sized s USING (snapshot_id) WHERE p.rn = 1 AND p.metric_name = 'total_citations'),
+offered AS (SELECT s.*, coalesce(s.source_even = t.source_even AND s.tod <> t.tod, false) AS clashes FROM sized s LEFT JOIN total t ON t.person_id = s.person_id AND t.reading_day = s.reading_day
+  WHERE s.n > 1 AND (s.citations_5yr IS NOT NULL OR s.h_index_5yr IS NOT NULL)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY person_id, reading_day ORDER BY trust DESC, tod DESC, snapshot_id DESC) AS k FROM offered),
+five AS (SELECT person_id, reading_day, arg_min({{'c': citations_5yr, 'h': h_index_5yr, 's': source_even}}, k) FILTER (NOT clashes) AS v, bool_or(k = 1 AND clashes) AS branched FROM ranked GROUP BY person_id, reading_day)
+SELECT s.person_id, s.reading_day, {", ".join(f"max(CASE WHEN metric_name = '{f}' THEN figure END) AS {f}, max(CASE WHEN metric_name = '{f}' THEN p.source_even END) AS {f}_source" for f in FIGURES)},
+  any_value(f.v.c) AS citations_5yr, any_value(f.v.h) AS h_index_5yr, any_value(f.v.s) AS five_year_source, coalesce(bool_or(f.branched), false) AS branched
+FROM sure s LEFT JOIN picked p ON p.person_id = s.person_id AND p.reading_day = s.reading_day AND p.rn = 1 LEFT JOIN five f ON f.person_id = s.person_id AND f.reading_day = s.reading_day GROUP BY s.person_id, s.reading_day""",
+    # Every consistent choice of a group is written out; the best by the order of the operator.
+    "p1_consistent": f"""WITH {_READINGS},
+k AS (SELECT *, row_number() OVER (PARTITION BY person_id, reading_day ORDER BY trust DESC, tod DESC, snapshot_id DESC) AS place,
+  CAST(substr(tod, 1, 2) AS BIGINT) * 3600000 + CAST(substr(tod, 3, 2) AS BIGINT) * 60000 + CAST(substr(tod, 5, 2) AS BIGINT) * 1000 + CAST(substr(tod, 7, 3) AS BIGINT) AS ms FROM sized WHERE n > 1),
+g AS (SELECT DISTINCT person_id, reading_day FROM k),
+{", ".join(f"o{i} AS (SELECT person_id, reading_day, place, trust, ms, snapshot_id, source_even AS s, h_index AS h, total_citations AS t, {f} AS v FROM k WHERE {f} IS NOT NULL UNION ALL SELECT person_id, reading_day, 1000000, 0, 0, 0, NULL, NULL, NULL, NULL FROM g)" for i, f in enumerate(FIGURES))},
+tried AS (SELECT o0.person_id, o0.reading_day, o0.v AS total_citations, o1.v AS h_index, o2.v AS works_count,
+  row_number() OVER (PARTITION BY o0.person_id, o0.reading_day ORDER BY CAST(o0.s IS NULL AND o0.v IS NULL AS INT) + CAST(o1.s IS NULL AND o1.v IS NULL AS INT) + CAST(o2.s IS NULL AND o2.v IS NULL AS INT),
+    o0.trust + o1.trust + o2.trust DESC, o0.ms + o1.ms + o2.ms DESC, o0.snapshot_id + o1.snapshot_id + o2.snapshot_id DESC, o0.place, o1.place, o2.place) AS r
+  FROM o0 JOIN o1 ON o1.person_id = o0.person_id AND o1.reading_day = o0.reading_day JOIN o2 ON o2.person_id = o0.person_id AND o2.reading_day = o0.reading_day
+  WHERE NOT coalesce(o0.s = o1.s AND (o0.h <> o1.h OR o0.t <> o1.t), false) AND NOT coalesce(o0.s = o1.s AND o0.t <> o1.t, false)
+    AND NOT coalesce(o0.s = o2.s AND o0.h <> o2.h, false) AND NOT coalesce(o0.s = o2.s AND o0.t <> o2.t, false)
+    AND NOT coalesce(o1.s = o2.s AND o1.h <> o2.h, false) AND NOT coalesce(o1.s = o2.s AND o1.t <> o2.t, false) AND NOT coalesce(o0.s = o1.s AND o0.h <> o1.h, false))
+SELECT person_id, reading_day, total_citations, h_index, works_count FROM tried WHERE r = 1""",
+    "p2_percentiles": _LATEST
+    + f""", ord AS (SELECT metric_name, source_name, rank_name, figure, row_number() OVER (PARTITION BY metric_name, source_name, rank_name ORDER BY figure) AS i, count(*) OVER (PARTITION BY metric_name, source_name, rank_name) AS n FROM rows),
+q AS (SELECT CAST(unnest([{", ".join(map(str, QUANTILES))}]) AS DOUBLE) AS quantile)
+SELECT metric_name, source_name, rank_name, quantile, n, figure AS percentile, true AS within_bound FROM ord, q WHERE i = greatest(1, CAST(ceil(quantile * n) AS BIGINT))""",
     "p2_found": _LATEST
     + """, m AS (SELECT metric_name, source_name, rank_name, median(figure) AS med FROM rows GROUP BY ALL)
 SELECT metric_name, snapshot_id FROM rows JOIN m USING (metric_name, source_name, rank_name) WHERE figure > 25 * med""",

@@ -2,76 +2,93 @@
 
 Fields that depend on each other form a bundle, and a bundle survives as a whole from one
 record. Trust is a tuple of integers compared in order; the trust of a choice is the sum
-over its bundles. Functional dependencies must hold among the records chosen for one group.
-
-The bound of the search is the best bundle each on its own. One grouped maximum finds it,
-with map-side combining, so a group of any size costs a task only its combined rows. Where
-those records satisfy every dependency, the bound is reached and the choice is optimal. Only
-the other groups branch: best first over the ranked candidates of each bundle, of which a
-round takes the first ``width``; a group whose answer is not proven within them goes on to a
-wider round. The last round takes all candidates.
+over its bundles, those of a lower ``tier`` first. Functional dependencies must hold among the
+records chosen for one group.
+
+The search is a branch and bound. Its root relaxes the dependencies: the bound is the best
+bundle each on its own, which one grouped maximum finds with map-side combining, so a group of
+any size costs a task only its combined rows. The root is tested against every dependency; where
+it holds them all, the bound is reached and the choice is optimal. The other groups branch: best
+first over the ranked candidates of each bundle that a dependency touches, of which a round
+takes the first ``width``; a group whose answer is not proven within them goes on to a wider
+round. The last round takes all candidates.
 """
 
 from __future__ import annotations
 
 import heapq
 from dataclasses import dataclass
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallymark.session import materialize
+from tallymark.session import materialize, small_side
 
 
 @dataclass(frozen=True)
 class Bundle:
-    """Fields that survive together. ``complete`` tells whether a record can supply them."""
+    """Fields that survive together. ``complete`` tells whether a record can supply them; a lower ``tier`` never yields to a higher one."""
 
     name: str
     fields: tuple[str, ...]
     complete: Column
+    tier: int = 0
 
 
 @dataclass(frozen=True)
 class Dependency:
-    """Chosen records that agree on every ``given`` field (none null) must agree on ``fixed`` where both have it."""
+    """Chosen records that agree on every ``given`` field (none null) must agree on ``fixed`` where both have it.
+
+    With ``among`` only the records chosen for these bundles are held against each other.
+    """
 
     given: tuple[str, ...]
     fixed: tuple[str, ...]
+    among: tuple[str, ...] | None = None
+
 
+#: A rule as the search sees it: names of given and fixed fields, and the pairs of bundles that it binds.
+Rule = tuple[list[str], list[str], frozenset[tuple[int, int]]]
 
 #: Candidates per bundle that the first branching round looks at, and the factor from round to round.
 FIRST_WIDTH, WIDEN = 16, 16
 
 
-def _clash(a: dict, b: dict, rules: list[tuple[list[str], list[str]]]) -> bool:
-    for given, fixed in rules:
-        if all(a[g] is not None and a[g] == b[g] for g in given) and any(a[f] is not None and b[f] is not None and a[f] != b[f] for f in fixed):
+def _clash(i: int, a: dict, j: int, b: dict, rules: list[Rule]) -> bool:
+    for given, fixed, pairs in rules:
+        if (i, j) in pairs and all(a[g] is not None and a[g] == b[g] for g in given) and any(a[f] is not None and b[f] is not None and a[f] != b[f] for f in fixed):
             return True
     return False
 
 
-def best_choice(ranked: list[list[tuple[tuple[int, ...], dict]]], rules: list[tuple[list[str], list[str]]], whole: bool) -> list[int] | None:
-    """Places of the best consistent choice in ``ranked`` (per bundle, best first, None for an empty bundle).
+def best_choice(ranked: list[list[tuple[tuple[int, ...], dict]]], rules: list[Rule], whole: bool, tiers: list[int] | None = None) -> list[int] | None:
+    """Places of the best consistent choice in ``ranked`` (per bundle, best first; the place after the last one is an empty bundle).
 
     Best-first branch and bound: a node is one place per bundle, its bound the trust there.
     The first node popped without a clash is optimal. A clash between two bundles branches on
-    moving either one down. A null choice (place len) stands for leaving the bundle empty; it
-    is tried last, so an answer always exists when ``whole``. Returns None if a list that may
-    go on was exhausted before the proof.
+    moving either one down. Leaving a bundle empty is tried last, so an answer always exists
+    when ``whole``. Returns None if a list that may go on was exhausted before the proof.
     """
-    zero = tuple(0 for r in ranked for t, _ in r[:1] for _ in t) or (0,)
-    size = len(next((t for r in ranked for t, _ in r), zero))
+    size = len(next((t for r in ranked for t, _ in r), (0,)))
+    tiers = tiers or [0] * len(ranked)
+    order = sorted(set(tiers))
 
     def trust(at: tuple[int, ...]) -> tuple[int, ...]:
-        gone = sum(1 for r, i in zip(ranked, at) if i >= len(r))
-        totals = [0] * size
-        for r, i in zip(ranked, at):
-            if i < len(r):
-                totals = [x + y for x, y in zip(totals, r[i][0])]
-        return (gone, *(-x for x in totals))
+        out: list[int] = []
+        for tier in order:
+            gone, totals = 0, [0] * size
+            for r, i, own in zip(ranked, at, tiers):
+                if own != tier:
+                    continue
+                if i >= len(r):
+                    gone += 1
+                else:
+                    totals = [x - y for x, y in zip(totals, r[i][0])]
+            out += [gone, *totals]
+        return tuple(out)
 
     start = tuple(0 for _ in ranked)
     heap, seen = [(trust(start), start)], {start}
@@ -80,7 +97,7 @@ def best_choice(ranked: list[list[tuple[tuple[int, ...], dict]]], rules: list[tu
         if not whole and any(r and i >= len(r) for r, i in zip(ranked, at)):
             return None
         clash = next(
-            ((i, j) for i in range(len(at)) for j in range(i + 1, len(at)) if at[i] < len(ranked[i]) and at[j] < len(ranked[j]) and _clash(ranked[i][at[i]][1], ranked[j][at[j]][1], rules)),
+            ((i, j) for i in range(len(at)) for j in range(i + 1, len(at)) if at[i] < len(ranked[i]) and at[j] < len(ranked[j]) and _clash(i, ranked[i][at[i]][1], j, ranked[j][at[j]][1], rules)),
             None,
         )
         if clash is None:
@@ -102,18 +119,21 @@ def survivors(
     dependencies: list[Dependency] | None = None,
     least_rows: int = 2,
 ) -> DataFrame:
-    """One row per group: its keys and, per bundle, a struct of record_id and the bundle's fields.
+    """One row per group: its keys, per bundle a struct of record_id and the bundle's fields, and ``branched``.
 
     A group is the rows with the same non-null ``keys``, if there are at least ``least_rows``.
     ``trust`` columns are integers, more trusted is greater, a null counts as 0 and
-    ``record_id`` (a unique bigint) breaks ties. A bundle that no record can supply is null,
-    as is one that would break a dependency whatever record it came from; bundles are left
-    empty only if there is no other way, as few as can be. Repeated rows need own record ids.
+    ``record_id`` (a bigint) breaks ties. A bundle that no record can supply is null, as is one
+    that would break a dependency whatever record it came from; bundles are left empty only if
+    there is no other way, as few as can be. ``branched`` tells whether the root of the search
+    broke a dependency. Rows repeated under one record id are records of their own that tie.
     """
-    rules = [(list(d.given), list(d.fixed)) for d in dependencies or []]
-    # A dependency whose fields lie in one bundle, or are fixed by the record's own id, cannot break between bundles.
-    rules = [(g, f) for g, f in rules if record_id not in g and not any(set(g + f) <= set(b.fields) for b in bundles)] if len(bundles) > 1 else []
-    watched = list(dict.fromkeys(x for g, f in rules for x in g + f))
+    rules: list[Rule] = []
+    for d in dependencies or []:
+        bound = [i for i, b in enumerate(bundles) if d.among is None or b.name in d.among]
+        rules.append((list(d.given), list(d.fixed), frozenset((i, j) for i in bound for j in bound if i < j)))
+    watched = list(dict.fromkeys(x for g, f, _ in rules for x in g + f))
+    touched = sorted({i for _, _, pairs in rules for pair in pairs for i in pair})
     key_names = [f"_k{i}" for i in range(len(keys))]
     fields = list(dict.fromkeys(f for b in bundles for f in b.fields))
     src = df.where(" and ".join(f"`{k}` is not null" for k in keys)).select(
@@ -125,73 +145,69 @@ def survivors(
         *[b.complete.alias(f"_c{i}") for i, b in enumerate(bundles)],
     )
     trusts = [f"_t{i}" for i in range(len(trust))]
-    carried = lambda b: [f"_f{fields.index(f)}" for f in b.fields] + [f"_w{i}" for i in range(len(watched))]
-    packed = [F.when(F.col(f"_c{i}"), F.struct(*trusts, "_id", *carried(b))) for i, b in enumerate(bundles)]
+    # Only a bundle that a dependency touches carries the watched fields.
+    carried = lambda i: [f"_f{fields.index(f)}" for f in bundles[i].fields] + ([f"_w{k}" for k in range(len(watched))] if i in touched else [])
+    packed = [F.when(F.col(f"_c{i}"), F.struct(*trusts, "_id", *carried(i))) for i in range(len(bundles))]
     root = src.groupBy(*key_names).agg(F.count(F.lit(1)).alias("_n"), *[F.max(p).alias(f"_b{i}") for i, p in enumerate(packed)]).where(F.col("_n") >= least_rows)
     if rules:
-        root = materialize(root, "survivor-bound")
-        pairs = [(i, j) for i in range(len(bundles)) for j in range(i + 1, len(bundles))]
+        w = lambda b, x: F.col(f"_b{b}._w{watched.index(x)}")
         clash = F.lit(False)
-        for i, j in pairs:
-            for given, fixed in rules:
-                w = lambda b, x: F.col(f"_b{b}._w{watched.index(x)}")
-                agree = F.lit(True)
-                for g in given:
-                    agree = agree & F.coalesce(w(i, g) == w(j, g), F.lit(False))
-                differ = F.lit(False)
-                for f in fixed:
-                    differ = differ | F.coalesce(w(i, f) != w(j, f), F.lit(False))
+        for given, fixed, pairs in rules:
+            for i, j in sorted(pairs):
+                agree = reduce(lambda x, y: x & y, [F.coalesce(w(i, g) == w(j, g), F.lit(False)) for g in given])
+                differ = reduce(lambda x, y: x | y, [F.coalesce(w(i, f) != w(j, f), F.lit(False)) for f in fixed])
                 clash = clash | (agree & differ)
-        done = [root.where(~clash)]
-        open_groups = root.where(clash)
-        width = FIRST_WIDTH
-        while not open_groups.isEmpty():
-            solved, open_groups = _branch(src, open_groups, key_names, trusts, bundles, carried, watched, rules, width)
-            done.append(solved)
-            width *= WIDEN
-        root = done[0]
-        for more in done[1:]:
-            root = root.unionByName(more)
+        root = materialize(root.withColumn("_clash", clash), "survivor-root")
+        done = [root.where("not _clash").withColumn("branched", F.lit(False)).drop("_clash")]
+        open_groups = root.where("_clash").drop("_clash")
+        if not open_groups.isEmpty():
+            # The rows of the groups that branch are read once for all rounds.
+            rows = materialize(src.join(small_side(open_groups.select(*key_names)), key_names, "left_semi"), "survivor-open")
+            width = FIRST_WIDTH
+            while not open_groups.isEmpty():
+                solved, open_groups = _branch(rows, open_groups, key_names, trusts, bundles, carried, touched, watched, rules, width)
+                done.append(solved.withColumn("branched", F.lit(True)))
+                width *= WIDEN
+        root = reduce(DataFrame.unionByName, done)
+    else:
+        root = root.withColumn("branched", F.lit(False))
     out = [F.when(F.col(f"_b{i}").isNotNull(), F.struct(F.col(f"_b{i}._id").alias(record_id), *[F.col(f"_b{i}._f{fields.index(f)}").alias(f) for f in b.fields])).alias(b.name) for i, b in enumerate(bundles)]
-    return root.select(*[F.col(n).alias(k) for n, k in zip(key_names, keys)], *out)
+    return root.select(*[F.col(n).alias(k) for n, k in zip(key_names, keys)], *out, "branched")
 
 
-def _branch(src: DataFrame, groups: DataFrame, key_names, trusts, bundles, carried, watched, rules, width: int) -> tuple[DataFrame, DataFrame]:
-    """Solve the open groups with the first ``width`` candidates of each bundle; return solved and still open ones.
+def _branch(rows: DataFrame, groups: DataFrame, key_names, trusts, bundles, carried, touched, watched, rules, width: int) -> tuple[DataFrame, DataFrame]:
+    """Solve the open groups with the first ``width`` candidates of each touched bundle; return solved and still open ones.
 
     Candidates of a bundle that agree on the watched fields are interchangeable for the
-    dependencies, so only the most trusted of them is kept before ranking.
+    dependencies, so only the most trusted of them is kept before ranking. Bundles that no
+    dependency touches keep the root's choice. All bundles rank within one partitioning.
     """
-    order = [F.col(t).desc() for t in trusts] + [F.col("_id").desc()]
-    lists = groups.select(*key_names, "_n")
     wkeys = [f"_w{i}" for i in range(len(watched))]
-    open_src = src.join(groups.select(*key_names), key_names, "left_semi")
-    for i, b in enumerate(bundles):
-        best = (
-            open_src.where(F.col(f"_c{i}"))
-            .groupBy(*key_names, *wkeys)
-            .agg(F.max(F.struct(*trusts, "_id", *[c for c in carried(b) if c not in wkeys])).alias("_r"))
-            .select(*key_names, F.struct(*[F.col(f"_r.{t}").alias(t) for t in trusts], F.col("_r._id").alias("_id"), *[F.col(f"_r.{c}").alias(c) if c not in wkeys else F.col(c) for c in carried(b)]).alias("_r"))
-        )
-        by = Window.partitionBy(*key_names).orderBy(F.col("_r").desc())
-        top = best.withColumn("_p", F.row_number().over(by)).where(F.col("_p") <= width + 1)
-        one = top.groupBy(*key_names).agg(F.sort_array(F.collect_list("_r"), asc=False).alias(f"_l{i}"))
-        lists = lists.join(one, key_names, "left")
-
+    slim = lambda i: [c for c in carried(i) if c not in wkeys]
+    best = rows.groupBy(*key_names, *wkeys).agg(*[F.max(F.when(F.col(f"_c{i}"), F.struct(*trusts, "_id", *slim(i)))).alias(f"_r{i}") for i in touched])
+    for i in touched:
+        whole = F.struct(*[F.col(f"_r{i}.{c}").alias(c) for c in [*trusts, "_id"]], *[F.col(f"_r{i}.{c}").alias(c) if c not in wkeys else F.col(c) for c in carried(i)])
+        best = best.withColumn(f"_x{i}", F.when(F.col(f"_r{i}").isNotNull(), whole))
+        best = best.withColumn(f"_p{i}", F.row_number().over(Window.partitionBy(*key_names).orderBy(F.col(f"_x{i}").desc_nulls_last())))
+    top = lambda i: F.sort_array(F.collect_list(F.when(F.col(f"_p{i}") <= width + 1, F.col(f"_x{i}"))), asc=False).alias(f"_l{i}")
+    lists = groups.join(best.groupBy(*key_names).agg(*[top(i) for i in touched]), key_names)
     n_t = len(trusts)
+    tiers = [bundles[i].tier for i in touched]
+    own = [(g, f, frozenset((touched.index(i), touched.index(j)) for i, j in pairs)) for g, f, pairs in rules]
 
     def solve(*columns: pd.Series) -> pd.Series:
         out = []
         for lists_of in zip(*columns):
             ranked, whole = [], True
             for one in lists_of:
-                rows = [] if one is None else list(one)
-                whole &= len(rows) <= width
-                ranked.append([((*(int(r[f"_t{t}"]) for t in range(n_t)), int(r["_id"])), {w: r[f"_w{i}"] for i, w in enumerate(watched)}) for r in rows[:width]])
-            out.append(best_choice(ranked, rules, whole))
+                found = [] if one is None else list(one)
+                whole &= len(found) <= width
+                ranked.append([((*(int(r[f"_t{t}"]) for t in range(n_t)), int(r["_id"])), {w: r[f"_w{i}"] for i, w in enumerate(watched)}) for r in found[:width]])
+            out.append(best_choice(ranked, own, whole, tiers))
         return pd.Series(out)
 
     pick = F.pandas_udf(solve, T.ArrayType(T.IntegerType()))
-    answered = materialize(lists.withColumn("_at", pick(*[F.col(f"_l{i}") for i in range(len(bundles))])), "survivor-branch")
-    solved = answered.where(F.col("_at").isNotNull()).select(*key_names, "_n", *[F.get(F.col(f"_l{i}"), F.col("_at")[i]).alias(f"_b{i}") for i in range(len(bundles))])
-    return solved, answered.where(F.col("_at").isNull()).select(*key_names, "_n")
+    answered = materialize(lists.withColumn("_at", pick(*[F.col(f"_l{i}") for i in touched])), "survivor-branch")
+    chosen = [F.get(F.col(f"_l{i}"), F.col("_at")[touched.index(i)]).alias(f"_b{i}") if i in touched else F.col(f"_b{i}") for i in range(len(bundles))]
+    solved = answered.where(F.col("_at").isNotNull()).select(*key_names, "_n", *chosen)
+    return solved, answered.where(F.col("_at").isNull()).select(*key_names, "_n", *[f"_b{i}" for i in range(len(bundles))])

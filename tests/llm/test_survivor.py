@@ -77,3 +77,23 @@ def test_wider_rounds_go_on_until_proven(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert run(spark, [(None, 1, 1, 1, 1, 1, 1)], []) == {}
+
+
+def test_a_higher_tier_yields_and_only_named_bundles_bind(spark):
+    # src 2 gives a at second 5 and b at second 9; c is of a lower claim and must not come from another moment of a's source.
+    rows = [(1, 1, 2, 5, 10, None, None), (1, 2, 2, 9, None, 20, 30), (1, 3, 1, 1, 11, 21, 31), (2, 4, 2, 5, 1, 1, None), (2, 5, 2, 7, None, None, 3)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    bundles = [S.Bundle(f"best_{c}", (c,), F.col(c).isNotNull(), tier=int(c == "c")) for c in "abc"]
+    out = S.survivors(df, ["g"], "id", [F.col("src"), F.col("sec")], bundles, [S.Dependency(("src",), ("sec",), among=("best_a", "best_c"))]).collect()
+    got = {r.g: (tuple(x and x.id for x in (r.best_a, r.best_b, r.best_c)), r.branched) for r in out}
+    # Group 1: b keeps its record beside a's, c moves down to the other source; group 2: nothing else is left, so c stays empty.
+    assert got == {1: ((1, 2, 3), True), 2: ((4, 4, None), True)}
+
+
+def test_repeated_record_ids_branch(spark):
+    # One id stands for two records of different moments: a dependency on the id can break.
+    rows = [(1, 7, 2, 5, 10, None, None), (1, 7, 2, 9, None, 20, 30), (1, 8, 1, 1, 11, 21, 31)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    bundles = [S.Bundle(f"best_{c}", (c, "sec"), F.col(c).isNotNull()) for c in "ab"]
+    r = S.survivors(df, ["g"], "id", [F.col("src"), F.col("sec")], bundles, [S.Dependency(("id",), ("sec",))]).first()
+    assert r.branched and {r.best_a.sec, r.best_b.sec} != {5, 9}
