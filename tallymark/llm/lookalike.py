@@ -46,6 +46,10 @@ _TAGS = "(?<![🏴\\x{E0020}-\\x{E007F}])[\\x{E0020}-\\x{E007F}]+"
 _SEEN = [0x200C, 0x200D, 0x202E, *range(0x600, 0x606), 0x6DD, 0x70F, 0x8E2, *range(0xFFF9, 0xFFFC), *range(0x180B, 0x1810), *range(0xFE00, 0xFE10), *range(0xE0020, 0xE0080), *range(0xE0100, 0xE01F0)]
 WEIGHED = ("".join(map(chr, _SEEN)), "".join(chr(0x10E000 + i) for i in range(len(_SEEN))))
 INVISIBLE = "|".join([_ALWAYS, _JOINER, _VARIANT, _TAGS])
+#: The characters that the last three patterns may take away.
+_CONDITIONAL = "[\\x{180B}-\\x{180D}\\x{180F}\\x{200C}\\x{200D}\\x{FE00}-\\x{FE0F}\\x{E0020}-\\x{E007F}\\x{E0100}-\\x{E01EF}]"
+#: Plain ASCII text.
+PLAIN = r"[\x09-\x0D\x20-\x7E]+"
 
 
 def _rule_table() -> dict[str, str]:
@@ -87,18 +91,24 @@ def _ranges(chars: list[str]) -> str:
     return "[" + "".join(f"\\x{{{codes[a]:X}}}-\\x{{{codes[b - 1]:X}}}" for a, b in zip(cuts, cuts[1:])) + "]"
 
 
-def mapped(text: Column) -> Column:
-    """Text with look-alikes mapped and invisible characters gone; accents stay as they are written.
+def with_mapped(df: DataFrame, text: str, out: str) -> DataFrame:
+    """``df`` with ``out``: the text with look-alikes mapped and what shows nothing gone; accents stay as they are written.
 
-    A text of plain ASCII is its own form and goes through untouched.
+    What a text needs is read off its characters beyond ASCII alone, so most texts pass through
+    untouched. Each step is a projection of its own, since it uses the one before several times.
     """
-    out = F.regexp_replace(text, INVISIBLE, "")
-    several = out
+    special = F.regexp_replace(F.col(text), PLAIN, "")
+    named = df.withColumn("_special", special)
+    has = lambda pattern: F.col("_special").rlike(pattern)
+    named = named.select(*df.columns, has(_ALWAYS).alias("_a"), has(_CONDITIONAL).alias("_b"), has(_ranges(list(SEVERAL))).alias("_s"), has(_ranges(list(RULES))).alias("_r"))
+    clean = F.when(F.col("_b"), F.regexp_replace(text, INVISIBLE, "")).when(F.col("_a"), F.regexp_replace(text, _ALWAYS, "")).otherwise(F.col(text))
+    named = named.withColumn(out, clean)
+    several = F.col(out)
     for a, b in SEVERAL.items():
         several = F.replace(several, F.lit(a), F.lit(b))
-    out = F.when(out.rlike(_ranges(list(SEVERAL))), several).otherwise(out)
-    out = F.translate(out, "".join(RULES), "".join(RULES.values()))
-    return F.when(text.rlike(r"[^\x09-\x0D\x20-\x7E]"), out).otherwise(text)
+    named = named.withColumn(out, F.when(F.col("_s"), several).otherwise(F.col(out)))
+    named = named.withColumn(out, F.when(F.col("_r"), F.translate(out, "".join(RULES), "".join(RULES.values()))).otherwise(F.col(out)))
+    return named.select(*[c for c in df.columns if c != out], out)
 
 
 @F.pandas_udf(T.StringType())
@@ -109,7 +119,8 @@ def composed(text: pd.Series) -> pd.Series:
 
 def coarse(mapped_text: Column) -> Column:
     """Hash of the plain ASCII characters that carry no combining mark: equal for canonically equivalent texts."""
-    return F.xxhash64(F.regexp_replace(mapped_text, "(?s).\\p{M}+|[^\\x00-\\x7F]", ""))
+    bare = F.when(mapped_text.rlike("\\p{M}"), F.regexp_replace(mapped_text, "(?s).\\p{M}+", "")).otherwise(mapped_text)
+    return F.xxhash64(F.when(mapped_text.rlike("[^\\x00-\\x7F]"), F.regexp_replace(bare, "[^\\x00-\\x7F]+", "")).otherwise(mapped_text))
 
 
 def lookalike_classes(df: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
@@ -123,12 +134,13 @@ def lookalike_classes(df: DataFrame, doc_id: str, text: str) -> tuple[DataFrame,
     Empty texts are a class of their own; copies fold before anything is compared.
     """
     docs = df.where(f"`{doc_id}` is not null and `{text}` is not null").select(F.col(doc_id).alias("_id"), F.col(text).alias("_t"))
-    slim = materialize(docs.select("_id", F.md5("_t").alias("_h"), coarse(mapped(F.col("_t"))).alias("_c")), "lookalike-slim")
+    forms = with_mapped(docs.select("_id", F.md5("_t").alias("_h"), "_t"), "_t", "_m")
+    slim = materialize(forms.select("_id", "_h", coarse(F.col("_m")).alias("_c")), "lookalike-slim")
     strings = slim.groupBy("_c", "_h").agg(F.min("_id").alias("_rep"))
     twins = strings.groupBy("_c").agg(F.count(F.lit(1)).alias("_k")).where("_k > 1").select("_c")
     chosen = materialize(strings.join(twins, "_c", "left_semi"), "lookalike-chosen")
     # Only strings that share their coarse hash with another string are read again, each once.
-    texts = docs.join(small_side(chosen), docs["_id"] == chosen["_rep"]).select("_c", "_h", "_rep", "_t", composed(mapped(F.col("_t"))).alias("_m"))
+    texts = with_mapped(docs.join(small_side(chosen), docs["_id"] == chosen["_rep"]).select("_c", "_h", "_rep", "_t"), "_t", "_m").withColumn("_m", composed("_m"))
     texts = materialize(texts.withColumn("_plain", (F.col("_t") == F.col("_m")).cast("int")), "lookalike-texts")
     keyed = texts.withColumn("_u", F.collate(F.translate("_m", *WEIGHED), "UNICODE"))
     classes = keyed.groupBy("_c", "_u").agg(
