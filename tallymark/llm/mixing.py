@@ -153,6 +153,7 @@ def mix(df: DataFrame, doc_id: str, text_key: str, source: str, tokens: str, tar
         start[p] = a + flow
     if not stretches:
         return spark.createDataFrame([], out_schema)
+    # One row per pattern and source of it: bounded like the patterns, whatever the number of documents.
     plan = F.broadcast(spark.createDataFrame(stretches, "_p string, _s string, _a bigint, _b bigint, _t bigint"))
     # Where a text begins on its pattern's line: prefix sums of hash buckets, then within a bucket.
     buckets = max(16, -(-sum(n for _, n in sizes.values()) // 50_000))
@@ -177,5 +178,6 @@ def shares(chosen: DataFrame, source: str, targets: list[Target]) -> DataFrame:
     spark = chosen.sparkSession
     got = chosen.groupBy(source).agg(F.count(F.lit(1)).alias("n_documents"), F.sum(F.col("n_tokens") * F.col("repeats")).alias("n_tokens"))
     want = spark.createDataFrame([(t.source, float(t.share)) for t in targets], f"{source} string, target_share double")
+    # Both sides have one row per target.
     joined = want.join(F.broadcast(got), source, "left").fillna(0, ["n_documents", "n_tokens"])
     return joined.withColumn("actual_share", F.try_divide(F.col("n_tokens").cast("double"), F.sum("n_tokens").over(Window.partitionBy(F.lit(1)))))

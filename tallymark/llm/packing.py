@@ -1,6 +1,6 @@
 """Filling containers of fixed capacity by best-fit decreasing.
 
-Items are spread over shards of bounded size by a hash of their id. A shard is packed item by
+Items are spread over shards of bounded size by a hash of a row number. A shard is packed item by
 item from the largest down; a segment tree over remaining capacities finds the tightest open
 container that still takes the item in logarithmic time. Best fit leaves at most one
 container of a shard less than half full, and those few are packed together in a last step.
@@ -90,7 +90,9 @@ def pack(df: DataFrame, item_id: str, size: str, capacities: dict[int, int], sha
     Result: spec_id, container_id, item_id, piece, first_token, n_tokens, container_tokens,
     capacity_tokens. Repeated ids are items of their own. No item gives no container.
     """
-    items = materialize(df.select(F.col(item_id).cast("long").alias("item"), F.col(size).cast("long").alias("size")).where("item is not null and size >= 0"), "pack-items")
+    items = df.select(F.col(item_id).cast("long").alias("item"), F.col(size).cast("long").alias("size")).where("item is not null and size >= 0")
+    # Rows spread by a number of their own, written with them, so an id that repeats very often is spread like any other rows.
+    items = materialize(items.withColumn("row", F.monotonically_increasing_id()), "pack-items")
     shards = max(1, -(-items.count() // shard_items))
     specs = sorted(capacities.items())
 
@@ -127,7 +129,8 @@ def pack(df: DataFrame, item_id: str, size: str, capacities: dict[int, int], sha
         return pa.concat_tables(parts)
 
     schema = "spec_id bigint, shard bigint, bin bigint, item bigint, piece bigint, first_token bigint, n_tokens bigint, container_tokens bigint, capacity_tokens bigint"
-    placed = items.withColumn("shard", F.pmod(F.xxhash64("item"), F.lit(shards))).groupBy("shard").applyInArrow(run, schema)
+    # A set number of partitions: shards are few bytes and much work, so they are not to be put together by their bytes.
+    placed = items.select("item", "size", F.pmod(F.xxhash64("row"), F.lit(shards)).alias("shard")).repartition(2 * shards, "shard").groupBy("shard").applyInArrow(run, schema)
     placed = materialize(placed, "pack-placed")
     half = placed.where("container_tokens * 2 < capacity_tokens").groupBy("spec_id", "shard", "bin", "capacity_tokens").agg(F.first("container_tokens").alias("used"))
 

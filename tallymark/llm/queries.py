@@ -12,7 +12,7 @@ from tallymark.llm.lookalike import lookalike_classes, lookalike_pairs, unified
 from tallymark.llm.mixing import Target, mix, shares
 from tallymark.llm.packing import pack
 from tallymark.llm.survivor import Bundle, Dependency, survivors
-from tallymark.llm.tokens import VOCABULARY, with_token_counts
+from tallymark.llm.tokens import with_token_counts
 from tallymark.session import materialize, small_side, table
 
 # ---------------------------------------------------------------- problem 1
@@ -200,7 +200,7 @@ def p7_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contents and fill of the containers of each spec, over all documents."""
     specs = {int(r["spec_id"]): int(r["capacity_tokens"]) for r in table(spark, sf_dir, "container_spec").where("spec_id is not null and capacity_tokens > 0").collect()}  # three rows
-    sizes = with_token_counts(table(spark, sf_dir, "documents"), "text", VOCABULARY, ["doc_id"])
+    sizes = with_token_counts(table(spark, sf_dir, "documents"), "text", keep=["doc_id"])
     return pack(sizes, "doc_id", "n_tokens", specs)
 
 
@@ -212,6 +212,26 @@ def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return total.withColumn("least_containers", least).withColumn("fill", F.col("n_tokens") / (F.col("n_containers") * F.col("capacity_tokens")))
 
 
+def p8_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every packing must keep, counted by spec: documents placed, tokens lost, containers over capacity, split items that fit, gaps between pieces, and whether at most one container is under half full."""
+    rows = materialize(p8_containers(spark, sf_dir), "packed")
+    sizes = with_token_counts(table(spark, sf_dir, "documents"), "text", keep=["doc_id"]).where("n_tokens is not null")
+    pieces = rows.groupBy("spec_id", "capacity_tokens", "doc_id").agg(F.sum("n_tokens").alias("placed"), F.count(F.lit(1)).alias("k"), F.max(F.col("first_token") + F.col("n_tokens")).alias("reach"))
+    of_docs = (
+        pieces.join(sizes, "doc_id", "full")
+        .groupBy("spec_id", "capacity_tokens")
+        .agg(
+            F.count("placed").alias("n_documents"),
+            F.sum(F.coalesce("n_tokens", F.lit(0)) - F.coalesce("placed", F.lit(0))).alias("n_lost"),
+            F.count_if((F.col("k") > 1) & (F.col("n_tokens") <= F.col("capacity_tokens"))).alias("n_split_that_fit"),
+            F.count_if(F.col("reach") != F.col("placed")).alias("n_gaps"),
+        )
+    )
+    bins = rows.groupBy("spec_id", "container_id", F.col("capacity_tokens").alias("cap")).agg(F.sum("n_tokens").alias("used"), F.max("container_tokens").alias("said"))
+    of_bins = bins.groupBy("spec_id").agg(F.count_if((F.col("used") > F.col("cap")) | (F.col("used") != F.col("said"))).alias("n_overfull"), (F.count_if(F.col("used") * 2 < F.col("cap")) <= 1).alias("is_tight"))
+    return of_docs.join(of_bins, "spec_id")
+
+
 # ---------------------------------------------------------------- problem 9
 def _source_key(c: Column) -> Column:
     """Spelling of a document source: lower case, no outer spaces, '_' for '-' and spaces."""
@@ -226,7 +246,7 @@ def _targets(spark: SparkSession, sf_dir: str) -> list[Target]:
 def p9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents of the mixture with the times each is used."""
     docs = table(spark, sf_dir, "documents").select("doc_id", _source_key(F.col("source")).alias("source"), F.md5("text").alias("text_key"), "text")
-    sizes = with_token_counts(docs, "text", VOCABULARY, ["doc_id", "source", "text_key"])
+    sizes = with_token_counts(docs, "text", keep=["doc_id", "source", "text_key"])
     return mix(sizes, "doc_id", "text_key", "source", "n_tokens", _targets(spark, sf_dir))
 
 
@@ -234,6 +254,20 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shares(p9_mixture(spark, sf_dir), "source", _targets(spark, sf_dir))
 
 
+def p9_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every mixture must keep, by target source: uses of a document over its limit, documents of other sources, and whether the share is within one percent and two of the longest documents."""
+    targets = _targets(spark, sf_dir)
+    chosen = materialize(p9_mixture(spark, sf_dir), "mixture")
+    docs = table(spark, sf_dir, "documents").select("doc_id", _source_key(F.col("source")).alias("own"))
+    limits = spark.createDataFrame([(t.source, t.max_repeats) for t in targets], "source string, most int")
+    uses = chosen.groupBy("doc_id", "source").agg(F.sum("repeats").alias("k")).join(docs, "doc_id").join(F.broadcast(limits), "source")  # one row per target
+    counted = uses.groupBy("source").agg(F.count_if(F.col("k") > F.col("most")).alias("n_over"), F.count_if(F.col("own") != F.col("source")).alias("n_foreign"))
+    slack = chosen.agg((0.01 + 2 * F.max("n_tokens") / F.sum(F.col("n_tokens") * F.col("repeats"))).alias("slack"))  # one row
+    out = shares(chosen, "source", targets).join(counted, "source", "left").crossJoin(F.broadcast(slack))
+    near = F.abs(F.coalesce("actual_share", F.lit(0.0)) - F.col("target_share")) <= F.col("slack")
+    return out.select("source", "target_share", F.coalesce("n_over", F.lit(0)).alias("n_over"), F.coalesce("n_foreign", F.lit(0)).alias("n_foreign"), F.coalesce(near, F.lit(False)).alias("is_near"))
+
+
 # ---------------------------------------------------------------- problem 10
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalike_pairs(table(spark, sf_dir, "documents"), "doc_id", "text")
@@ -248,7 +282,7 @@ def p10_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unified(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_records, p1_consistent, p2_found, p2_percentiles, p2_estimates, p2_by_month, p7_found, p7_confidence, p8_containers, p8_fill, p9_mixture, p9_shares, p10_found, p10_classes, p10_unified)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_records, p1_consistent, p2_found, p2_percentiles, p2_estimates, p2_by_month, p7_found, p7_confidence, p8_containers, p8_fill, p8_checks, p9_mixture, p9_shares, p9_checks, p10_found, p10_classes, p10_unified)}
 
 _SOURCE = "CASE regexp_replace(lower({c}), '[^a-z]', '', 'g') WHEN 'googlescholar' THEN 'google_scholar' WHEN '' THEN NULL ELSE regexp_replace(lower({c}), '[^a-z]', '', 'g') END"
 _DAY = "CASE WHEN substr(trim({c}), 5, 1) = '-' THEN substr(trim({c}), 1, 10) ELSE substr(trim({c}), 1, 4) || '-' || substr(trim({c}), 5, 2) || '-' || substr(trim({c}), 7, 2) END"
@@ -282,6 +316,10 @@ _LOOKS = f"WITH shown AS (SELECT doc_id, text, md5({_SHOWN}) AS look FROM docume
 _CLASSES = _LOOKS + """, classed AS (SELECT doc_id, text, min(doc_id) OVER (PARTITION BY look) AS class_id,
   first_value(canon) OVER (PARTITION BY look ORDER BY plain DESC, canon) AS canonical_id FROM (SELECT *, min(doc_id) OVER (PARTITION BY look, text) AS canon, CASE WHEN md5(text) = look THEN 1 ELSE 0 END AS plain FROM shown))"""
 ORACLE = {
+    # Tokens cannot be counted in SQL; the properties that a packing and a mixture must keep can be stated.
+    "p8_checks": """SELECT CAST(spec_id AS BIGINT) AS spec_id, CAST(capacity_tokens AS BIGINT) AS capacity_tokens, (SELECT count(*) FROM documents WHERE text IS NOT NULL) AS n_documents,
+  0 AS n_lost, 0 AS n_split_that_fit, 0 AS n_gaps, 0 AS n_overfull, true AS is_tight FROM container_spec WHERE spec_id IS NOT NULL AND capacity_tokens > 0""",
+    "p9_checks": "SELECT regexp_replace(lower(trim(source)), '[-\\s]+', '_', 'g') AS source, target_share, 0 AS n_over, 0 AS n_foreign, true AS is_near FROM mix_target WHERE source IS NOT NULL AND target_share > 0 AND max_repeats > 0",
     "p10_found": _LOOKS + " SELECT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM shown a JOIN shown b ON a.look = b.look AND a.doc_id < b.doc_id AND a.text <> b.text",
     "p10_classes": _CLASSES + " SELECT doc_id, class_id, canonical_id FROM classed",
     "p10_unified": _CLASSES

@@ -10,8 +10,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: A byte-level vocabulary for many languages, as ranks; another file of the kind may be named instead.
+#: A byte-level vocabulary for many languages, as ranks, where the session names no other.
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
+#: Session setting that names another vocabulary file of the kind; the driver reads it.
+SETTING = "spark.tallymark.vocabulary"
 # Fixed value: the public pre-tokenization pattern of byte-level vocabularies of this kind.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -29,12 +31,14 @@ def encoder(ranks: bytes):
     return _ENCODERS[key]
 
 
-def with_token_counts(df: DataFrame, text: str, vocabulary: str = VOCABULARY, keep: list[str] | None = None) -> DataFrame:
+def with_token_counts(df: DataFrame, text: str, vocabulary: str | None = None, keep: list[str] | None = None) -> DataFrame:
     """The ``keep`` columns with n_tokens, the tokens of the whole text; null for a null text.
 
-    The vocabulary, under 1 MB, is read once by the driver and broadcast.
+    The vocabulary, under 1 MB, is the file ``vocabulary``, else that of the session's SETTING,
+    else VOCABULARY. It is read once by the driver and broadcast.
     """
     spark = df.sparkSession
+    vocabulary = vocabulary or spark.conf.get(SETTING, VOCABULARY)
     ranks = spark.sparkContext.broadcast(Path(vocabulary).read_bytes())
     keep = keep if keep is not None else [c for c in df.columns if c != text]
     src = df.select(*keep, F.col(text).alias("_text"))
