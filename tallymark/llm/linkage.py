@@ -26,7 +26,7 @@ from tallymark.session import materialize, small_side
 #: Pairs of one pair of written names beyond which its records are compared in blocks, which give counted level patterns instead of rows of pairs. Results do not depend on it.
 HOT_PAIRS = 50_000
 #: Most people and candidates, about, of one block.
-PEOPLE_BLOCK, FOUND_BLOCK = 20_000, 2_000
+PEOPLE_BLOCK, FOUND_BLOCK = 200_000, 20_000
 NAME_TYPE = "struct<f: string, m: string, l: string, w: int>"
 
 
@@ -195,39 +195,114 @@ def _count_levels(figure: float, shift: float, on_file: np.ndarray) -> np.ndarra
     return np.where(np.isnan(on_file).all(0), 2, np.where(same, 4, np.where(near, 3, np.where(least.any(0), 0, 1))))
 
 
+def _first(xs: np.ndarray, shift: float, on_file: np.ndarray, bound: float, beyond: bool) -> np.ndarray:
+    """Place of the first of the ascending figures ``xs`` whose ratio to each value reaches (or exceeds) ``bound``; NaN gives len(xs)."""
+    holds = lambda i: ((xs[i] + shift) / (on_file + shift) > bound) if beyond else ((xs[i] + shift) / (on_file + shift) >= bound)
+    at = np.searchsorted(xs, np.nan_to_num(bound * (on_file + shift) - shift, nan=np.inf))
+    # The division decides, as it does for a single pair; the guess is at most one place off.
+    for _ in range(2):
+        at = np.where((at > 0) & holds(np.maximum(at - 1, 0)), at - 1, at)
+        at = np.where((at < len(xs)) & ~holds(np.minimum(at, len(xs) - 1)), at + 1, at)
+    return np.minimum(at, len(xs))
+
+
+def _totals(xs: np.ndarray, shift: float, on_file: np.ndarray, kind: np.ndarray, kinds: int) -> tuple[np.ndarray, np.ndarray]:
+    """How many people of each kind agree at each count level with each figure, and the sum of their places: (kind * 5 + level, figure).
+
+    A person's level is a step function of the figure. Its steps are counted as differences
+    and summed along the figures, so the work is that of the steps and not of the pairs.
+    """
+    m = len(xs)
+    low, lower, upper, high = (_first(xs, shift, on_file, b, beyond) for b, beyond in ((0.3, False), (0.55, False), (1.15, True), (1.5, True)))
+    steps = np.sort(np.concatenate([np.zeros((1, on_file.shape[1]), np.int64), low, lower, upper, high]), axis=0)
+    blank = np.isnan(on_file)
+    filled = (~blank).any(0)
+    size = kinds * 5 * (m + 1)
+    n, places = np.zeros(size), np.zeros(size)
+    place = np.arange(on_file.shape[1], dtype=float)
+    for k in range(len(steps)):
+        a, b = steps[k], steps[k + 1] if k + 1 < len(steps) else np.full(on_file.shape[1], m)
+        same = ((lower <= a) & (a < upper) & ~blank).any(0)
+        near = ((low <= a) & (a < high) & ~blank).any(0)
+        under = ((a < low) | blank).all(0)
+        level = np.where(filled, np.where(same, 4, np.where(near, 3, np.where(under, 1, 0))), 2)
+        row = (kind * 5 + level) * (m + 1)
+        for at, sign in ((a, 1.0), (b, -1.0)):
+            some = a < b
+            n += sign * np.bincount((row + at)[some], minlength=size)
+            places += sign * np.bincount((row + at)[some], weights=place[some], minlength=size)
+    return tuple(x.reshape(kinds * 5, m + 1).cumsum(1) for x in (n, places))
+
+
+def _postings(lists: pa.ChunkedArray) -> dict[int, np.ndarray]:
+    """Places of the rows whose list holds each code."""
+    owner = np.repeat(np.arange(len(lists)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy())
+    codes = pc.list_flatten(lists).to_numpy()
+    order = np.argsort(codes, kind="stable")
+    codes, owner = codes[order], owner[order]
+    cuts = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]]) if len(codes) else []
+    return {int(codes[a]): owner[a:b] for a, b in zip(cuts, [*cuts[1:], len(codes)])}
+
+
 def _block(left: pa.Table, right: pa.Table) -> pa.Table:
-    """Every candidate of a block against every person: one row per candidate and level pattern, with the number of people and the smallest id."""
-    left = left.sort_by("person_id")
-    right = right.sort_by("evidence")
-    ids, names = left["person_id"].to_numpy(), left["name_level"].to_numpy().astype(np.int64) * 20
-    counts, indexes = (_padded(left[c].cast(pa.list_(pa.float64())), np.nan) for c in ("counts", "indexes"))
-    insts, doctorate = (_padded(left[c], 0) for c in ("insts", "doctorate"))
-    filled_i, filled_d = (np.arange(m.shape[0])[:, None] < pc.list_value_length(left[c]).to_numpy() for m, c in ((insts, "insts"), (doctorate, "doctorate")))
-    bare = ~(filled_i.any(0) | filled_d.any(0))
+    """Every candidate of a block against every person: one row per candidate and level pattern with the number of people, and the person if it is one.
+
+    People whose institutions say nothing about a candidate are counted by tables of step
+    functions; only those who share an institution with it are looked at one by one.
+    """
+    ids, names = left["person_id"].to_numpy(), left["name_level"].to_numpy().astype(np.int64)
+    bare = (pc.fill_null(pc.list_value_length(left["insts"]), 0).to_numpy() + pc.fill_null(pc.list_value_length(left["doctorate"]), 0).to_numpy()) == 0
+    kind = names * 2 + bare
+    held = {"count": (_padded(left["counts"].cast(pa.list_(pa.float64())), np.nan), 1.0), "h_index": (_padded(left["indexes"].cast(pa.list_(pa.float64())), np.nan), 0.5)}
+    homes, schools = _postings(left["insts"]), _postings(left["doctorate"])
+    rows = right.sort_by("evidence").to_pylist()
+    figure = lambda c: "count" if c["count"] is not None else "h_index" if c["h_index"] is not None else None
+    tables = {}
+    for f, (on_file, shift) in held.items():
+        xs = np.unique(np.array([float(c[f]) for c in rows if figure(c) == f]))
+        if len(xs):
+            tables[f] = (xs, *_totals(xs, shift, on_file, kind, 14))
+    flat = np.zeros((14, 5))
+    flat[:, 2] = np.bincount(kind, minlength=14)
+    flat_places = np.zeros((14, 5))
+    flat_places[:, 2] = np.bincount(kind, weights=np.arange(len(ids)), minlength=14)
+    none = np.empty(0, np.int64)
+    union = lambda posted, codes: np.unique(np.concatenate([posted.get(x, none) for x in codes] or [none]))
     out: dict[str, list] = {c: [] for c in ("candidate_id", "code", "report_level", "n", "person_id")}
-    last, base = None, names
-    for c in right.to_pylist():
+    last = home = other = None
+    for c in rows:
         if c["evidence"] != last:
             last = c["evidence"]
-            held = lambda m, filled, xs: (np.isin(m, np.array(xs, np.int64)) & filled).any(0)
-            some = held(doctorate, filled_d, c["alike"]) | held(insts, filled_i, c["inside"]) | held(doctorate, filled_d, c["inside"])
-            level = np.where(held(insts, filled_i, c["alike"]), 3, np.where(some, 2, 0))
-            base = names + 5 * np.where(bare | c["bare"], 1, level)
-        if c["count"] is not None:
-            steps = _count_levels(float(c["count"]), 1.0, counts)
-        elif c["h_index"] is not None:
-            steps = _count_levels(float(c["h_index"]), 0.5, indexes)
+            home = union(homes, c["alike"])
+            other = np.setdiff1d(np.unique(np.concatenate([union(schools, c["alike"]), union(homes, c["inside"]), union(schools, c["inside"])])), home)
+        f = figure(c)
+        if f is None:
+            n, places = flat, flat_places
         else:
-            steps = 2
-        code = base + steps
-        n = np.bincount(code, minlength=140)
-        least = np.zeros(140, np.int64)
-        least[code[::-1]] = ids[::-1]  # the last one written is the smallest
-        seen = np.flatnonzero(n)
+            xs, all_n, all_places = tables[f]
+            i = np.searchsorted(xs, float(c[f]))
+            n, places = all_n[:, i].reshape(14, 5), all_places[:, i].reshape(14, 5)
+        # (name level, institution level, count level): without anything to compare the institution level is 1, else 0 unless shared.
+        whole, whole_places = np.zeros((7, 4, 5)), np.zeros((7, 4, 5))
+        whole[:, 1], whole_places[:, 1] = n[1::2], places[1::2]
+        plain_at = 1 if c["bare"] else 0
+        whole[:, plain_at] += n[0::2]
+        whole_places[:, plain_at] += places[0::2]
+        for level, some in ((3, home), (2, other)):
+            if len(some) and not c["bare"]:
+                steps = np.full(len(some), 2) if f is None else _count_levels(float(c[f]), held[f][1], held[f][0][:, some])
+                np.add.at(whole, (names[some], level, steps), 1)
+                np.add.at(whole, (names[some], 0, steps), -1)
+                np.add.at(whole_places, (names[some], level, steps), some)
+                np.add.at(whole_places, (names[some], 0, steps), -some)
+        seen = np.flatnonzero(np.rint(whole.ravel()))
+        found = np.rint(whole.ravel()[seen]).astype(np.int64)
+        at = np.rint(whole_places.ravel()[seen]).astype(np.int64)
         out["candidate_id"] += [c["candidate_id"]] * len(seen)
         out["report_level"] += [c["report_level"]] * len(seen)
-        for field_name, values in (("code", seen), ("n", n[seen]), ("person_id", least[seen])):
-            out[field_name] += values.tolist()
+        out["code"] += seen.tolist()
+        out["n"] += found.tolist()
+        out["person_id"] += [int(ids[p]) if k == 1 else None for k, p in zip(found.tolist(), at.tolist())]
     code = np.array(out["code"], np.int64)
     whole = lambda c: pa.array(out[c], pa.int64())
     small = lambda x: pa.array(x, pa.int32())
@@ -235,12 +310,39 @@ def _block(left: pa.Table, right: pa.Table) -> pa.Table:
     return pa.table(columns, names=[x.split()[0] for x in BLOCK_ROW.split(", ")])
 
 
+def _near_texts(ys: DataFrame, xs: DataFrame) -> DataFrame:
+    """(y, x) of texts that may be within two edits or one inside the other: every pair that is, and some more.
+
+    A text inside another shares all its six-letter pieces with it, so it meets it through its
+    rarest one. Of a text within two edits, one third stands unchanged in the other, at most two
+    letters aside.
+    """
+    grams = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - 5), lambda i: F.substring(c, i, 6)))
+
+    def within(inner: DataFrame, a: str, outer: DataFrame, b: str, least: int) -> DataFrame:
+        pieces = outer.where(F.length(b) > 5).select(b, F.explode(grams(F.col(b))).alias("g"))
+        often = pieces.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+        own = inner.where(F.length(a) > least).select(a, F.explode(grams(F.col(a))).alias("g"))
+        rarest = own.join(often, "g", "left").groupBy(a).agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "g")).alias("r")).where("r.n > 0").select(a, F.col("r.g").alias("g"))
+        return rarest.join(pieces, "g").select("y", "x")
+
+    def thirds(c, length, shift):
+        at = lambda k: F.floor(length * k / 3).cast("int")
+        return F.array(*[F.concat_ws("|", length.cast("string"), F.lit(str(k)), F.substring(c, F.greatest(at(k) + 1 + shift, F.lit(1)), at(k + 1) - at(k))) for k in range(3)])
+
+    part_y = ys.where(F.length("y") > 8).select("y", F.explode(thirds(F.col("y"), F.length("y"), F.lit(0))).alias("k"))
+    moved = F.array(*[thirds(F.col("x"), F.length("x") + d, F.lit(e)) for d in range(-2, 3) for e in range(-2, 3)])
+    part_x = xs.where(F.length("x") > 6).select("x", F.explode(F.array_distinct(F.flatten(moved))).alias("k"))
+    pairs = part_y.join(part_x, "k").select("y", "x")
+    return pairs.unionByName(within(ys, "y", xs, "x", 5)).unionByName(within(xs, "x", ys, "y", 12)).distinct()
+
+
 def _hot_patterns(people: DataFrame, found: DataFrame, groups: DataFrame) -> DataFrame:
     """Counted level patterns of all pairs of people and candidates whose sets of forms ``groups`` (gp, gc) pairs.
 
     Levels of names are found once per pair of sets of forms, agreement of institutions once
-    per pair of distinct texts; blocks of people and candidates then meet in Arrow tables, so
-    no pair becomes a row.
+    per pair of near texts; blocks of people and candidates then meet in Arrow tables, so no
+    pair becomes a row.
     """
     p_groups = people.groupBy("gp").agg(F.first("forms").alias("pf"), F.count(F.lit(1)).alias("n_p"))
     c_groups = found.groupBy("gc").agg(F.first("forms").alias("cf"), F.count(F.lit(1)).alias("n_c"))
@@ -249,11 +351,11 @@ def _hot_patterns(people: DataFrame, found: DataFrame, groups: DataFrame) -> Dat
     blocks = small_side(named.groupBy("gc").agg(F.ceil(F.sum("n_p") / PEOPLE_BLOCK).alias("bp"), F.ceil(F.first("n_c") / FOUND_BLOCK).alias("bc")))
     people = people.join(small_side(named.select("gp").distinct()), "gp", "left_semi")
     found = found.join(blocks, "gc")
-    xs = people.select(F.explode(F.concat("insts", "doctorate")).alias("x")).distinct()
-    ys = found.select(F.explode("insts").alias("y")).distinct()
+    xs = materialize(people.select(F.explode(F.concat("insts", "doctorate")).alias("x")).distinct(), "linkage-homes")
+    ys = materialize(found.select(F.explode("insts").alias("y")).distinct(), "linkage-texts")
     alike, inside = alike_texts(F.col("x"), F.col("y")), inside_texts(F.col("x"), F.col("y"))
     code = lambda c: F.xxhash64(c)
-    met = ys.crossJoin(small_side(xs)).where(alike | inside).groupBy("y").agg(F.collect_set(F.when(alike, code("x"))).alias("alike"), F.collect_set(F.when(inside, code("x"))).alias("inside"))
+    met = _near_texts(ys, xs).where(alike | inside).groupBy("y").agg(F.collect_set(F.when(alike, code("x"))).alias("alike"), F.collect_set(F.when(inside, code("x"))).alias("inside"))
     texts = found.select("insts").distinct().select("insts", F.explode("insts").alias("y")).join(met, "y").groupBy("insts")
     texts = texts.agg(F.flatten(F.collect_list("alike")).alias("alike"), F.flatten(F.collect_list("inside")).alias("inside"))
     none = lambda c: F.coalesce(F.col(c), F.array().cast("array<bigint>")).alias(c)
@@ -268,7 +370,8 @@ def _hot_patterns(people: DataFrame, found: DataFrame, groups: DataFrame) -> Dat
     # A set number of partitions, since small blocks take long.
     spread = lambda df: df.repartition(max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 4 * df.sparkSession.sparkContext.defaultParallelism), "gc", "i", "j").groupBy("gc", "i", "j")
     rows = spread(left).cogroup(spread(right)).applyInArrow(_block, BLOCK_ROW)
-    return rows.groupBy("candidate_id", *LEVELS).agg(F.sum("n").alias("n"), F.min("person_id").alias("person_id"))
+    rows = rows.groupBy("candidate_id", *LEVELS).agg(F.sum("n").alias("n"), F.max("person_id").alias("person_id"))
+    return rows.withColumn("person_id", F.when(F.col("n") == 1, F.col("person_id")))
 
 
 def compared_pairs(people: DataFrame, found: DataFrame) -> DataFrame:
@@ -280,8 +383,8 @@ def compared_pairs(people: DataFrame, found: DataFrame) -> DataFrame:
 
     The passes pair distinct written names, however many records share one; records then meet
     through their names. Where two names would give more than HOT_PAIRS pairs, a candidate's
-    people that agree with it alike are one row: their smallest person_id and their number n.
-    Other rows are one pair, n = 1. Every blocked pair counts in exactly one row.
+    people that agree with it alike are one row with their number n, and their person_id only
+    where they are one. Other rows are one pair, n = 1. Every blocked pair counts in exactly one row.
     """
     # Only the named columns travel, so other columns of the tables cannot clash.
     people = people.select("person_id", "forms", "insts", "doctorate", "counts", "indexes").withColumn("gp", F.xxhash64(F.sort_array("forms")))
@@ -325,9 +428,12 @@ def link(people: DataFrame, found: DataFrame, threshold: float = 0.5) -> DataFra
     """At most one person per candidate: person_id, candidate_id, the levels and confidence.
 
     Confidence is the posterior odds of the pair against those of the candidate's other pairs
-    and of no match. A tie between two people leaves both below one half, so no match. Empty
-    tables give an empty result.
+    and of no match. A tie between two people leaves both below one half, so no match; a
+    ``threshold`` below one half would allow several people and is an error. Empty tables give
+    an empty result.
     """
+    if threshold < 0.5:
+        raise ValueError("a threshold below one half would match a candidate with several people")
     pairs = materialize(compared_pairs(people, found), "linkage-pairs")
     # A candidate weighs one in all, however many pairs it has, so one very common name cannot set the model.
     share = F.col("c") / F.sum("c").over(Window.partitionBy("candidate_id"))
@@ -342,7 +448,7 @@ def link(people: DataFrame, found: DataFrame, threshold: float = 0.5) -> DataFra
     # Partial sums by candidate fold before the shuffle; only pairs with some weight of their own are ranked.
     scored = pairs.withColumn("odds", odds)
     total = scored.groupBy("candidate_id").agg(F.sum(F.col("n") * F.col("odds")).alias("all_odds"))
-    best = scored.where("odds > 0.05").join(total, "candidate_id").withColumn("confidence", F.col("odds") / (1 + F.col("all_odds")))
-    # People that agree alike have the same confidence, so the smallest id of their row is the one that ranks first.
-    rank = F.row_number().over(Window.partitionBy("candidate_id").orderBy(F.desc("confidence"), "person_id"))
-    return best.where(F.col("confidence") >= threshold).withColumn("place", rank).where("place = 1").select("person_id", "candidate_id", *LEVELS, "confidence")
+    # No pair reaches the threshold whose odds do not: a bound that loses nothing.
+    best = scored.where((F.col("n") == 1) & (F.col("odds") >= 0.999 * threshold / (1 - threshold + 1e-12))).join(total, "candidate_id").withColumn("confidence", F.col("odds") / (1 + F.col("all_odds")))
+    # At most one person of a candidate gets half of its odds.
+    return best.where((F.col("confidence") >= threshold) & (F.col("confidence") > 0.5 - 1e-12)).select("person_id", "candidate_id", *LEVELS, "confidence")

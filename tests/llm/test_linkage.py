@@ -107,8 +107,8 @@ def patterns(rows):
     out = {}
     for x in rows:
         k = (x.candidate_id, *(x[f] for f in L.LEVELS))
-        n, least = out.get(k, (0, x.person_id))
-        out[k] = (n + x.n, min(least, x.person_id))
+        n, one = out.get(k, (0, None))
+        out[k] = (n + x.n, x.person_id if n + x.n == 1 else None)
     return out
 
 
