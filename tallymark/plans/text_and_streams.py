@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.operators import extract as X
+from tallymark.operators import metrics as M
 from tallymark.plans.base_sql import BASE
 from tallymark.session import table
+from tallymark.sources.standard import appointments
 from tallymark.streaming import follow as S
 
 QUERIES: dict = {}
@@ -24,12 +26,18 @@ def query(sql: str | None = None):
     return add
 
 
+def _current(spark, d):
+    return M.current_appointments(appointments(spark, d), table(spark, d, "department"))
+
+
 def _lines(spark, d):
-    return X.page_lines(table(spark, d, "documents").select("doc_id", "text"), "doc_id", F.col("text"))
+    """Lines of all documents, their sentences on lines of their own."""
+    text = X.text_of(F.regexp_replace("text", "[.] ", ".\n"))
+    return X.page_lines(table(spark, d, "documents").select("doc_id", text.alias("text")), "doc_id", F.col("text"))
 
 
-_LINES = """, parts AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL),
-lines AS (SELECT doc_id, i - 1 AS line_no, trim(l[i], ' ') AS line FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM parts) WHERE trim(l[i], ' ') <> '')"""
+_LINES = """, parts AS (SELECT doc_id, list_filter(list_transform(string_split(replace(text, '. ', '.' || chr(10)), chr(10)), lambda x: trim(regexp_replace(x, '[ \\t\\x{A0}]+', ' ', 'g'), ' ')), lambda x: x <> '') AS l FROM documents WHERE text IS NOT NULL),
+lines AS (SELECT doc_id, i - 1 AS line_no, l[i] AS line FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM parts))"""
 
 
 @query(f"{_LINES} SELECT doc_id, count(*) AS n_lines, CAST(sum(length(line)) AS BIGINT) AS n_chars FROM lines GROUP BY doc_id")
@@ -37,9 +45,29 @@ def page_text_lines(spark: SparkSession, d: str) -> DataFrame:
     return _lines(spark, d).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_lines"), F.sum(F.length("line")).alias("n_chars"))
 
 
-@query(f"{_LINES} SELECT doc_id, line_no, line FROM lines WHERE regexp_matches(line, '^([A-Z][a-z]+ ){{1,2}}[A-Z][a-z]+[,:] [A-Z][A-Za-z]+ [A-Z]')")
+_Q = lambda words: ", ".join(f"'{w}'" for w in words)
+_PART = "regexp_extract(line, '^([^,:;|]+?)(?: -|[,:;|])', 1)"
+_NAMED = f"""trim(regexp_replace(regexp_replace(trim(regexp_replace({_PART}, '\\([^)]*\\)', ' ', 'g')), '^(?i:dr|prof|professor|mrs?|ms|mx)\\.?\\s+', ''), '(?:\\s+(?:\\p{{Lu}}{{2,6}}|Ph\\.?\\s?D\\.?|[JS]r\\.?))+\\s*$', ''))"""
+
+
+@query(f"""{_LINES}, c AS (SELECT doc_id, line_no, {_NAMED} AS name FROM lines), w AS (SELECT *, string_split_regex(name, '\s+') AS ws, string_split_regex(strip_accents(lower(replace(replace(replace(replace(name, 'Ø', 'O'), 'ø', 'o'), 'Ł', 'L'), 'ł', 'l'))), '[^a-z]+') AS bare FROM c)
+SELECT doc_id, line_no, name FROM w WHERE len(ws) BETWEEN 2 AND 4 AND len(list_filter(ws, lambda x: NOT regexp_matches(x, '^\p{{Lu}}[\p{{L}}.’''-]*$'))) = 0 AND regexp_matches(ws[-1], '\p{{L}}{{2}}')
+  AND name <> upper(name) AND NOT list_has_any(bare, [{_Q(X.NOT_NAMES)}])""")
 def page_name_lines(spark: SparkSession, d: str) -> DataFrame:
-    return _lines(spark, d).where(F.col("line").rlike("^([A-Z][a-z]+ ){1,2}[A-Z][a-z]+[,:] [A-Z][A-Za-z]+ [A-Z]"))
+    """Lines of the documents that begin with a name and a mark."""
+    name = X.name_on(F.regexp_extract("line", "^([^,:;|]+?)(?: -|[,:;|])", 1))
+    return _lines(spark, d).select("doc_id", "line_no", name.alias("name")).where("name is not null")
+
+
+@query(f"""{_LINES}, w AS (SELECT doc_id, line_no, line, list_transform(list_filter(string_split_regex(lower(line), '[^\p{{L}}]+'), lambda x: x <> ''), lambda x: CASE x WHEN 'prof' THEN 'professor' WHEN 'assoc' THEN 'associate' WHEN 'asst' THEN 'assistant' WHEN 'assist' THEN 'assistant' ELSE x END) AS ws FROM lines),
+t AS (SELECT *, coalesce(list_position(ws, 'professor'), 0) AS p, list_filter(ws, lambda x: x IN ({_Q(X.TITLE_WORDS)}))[1] AS opens FROM w WHERE list_has_any(ws, [{_Q(X.TITLE_WORDS)}])),
+b AS (SELECT *, CASE WHEN p > 1 THEN ws[p - 1] END AS before, CASE WHEN p > 1 THEN ws[1:p - 1] ELSE [] END AS ahead, ' ' || array_to_string(ws, ' ') || ' ' AS txt FROM t)
+SELECT doc_id, line_no, CASE WHEN p = 0 OR opens <> 'professor' OR list_has_any(ws, [{_Q(X.OFF_LADDER)}]) OR coalesce(before IN ('research', 'teaching'), false) OR regexp_matches(txt, ' (in residence|part time|of teaching|teaching stream|research stream) ') THEN NULL
+  WHEN before IN ('assistant', 'associate', 'full') THEN before
+  WHEN list_has_any(ahead, [{_Q(X.CHAIR_MARKS)}]) OR regexp_matches(line, '^(?:.*\s)?\p{{Lu}}[\p{{L}}\p{{N}}.’''-]*\s+(?i:professor|prof\b)') THEN NULL ELSE 'full' END AS rank_name FROM b""")
+def page_title_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Lines of the documents with a title and the rank that it tells."""
+    return _lines(spark, d).where(X.is_title(F.col("line"))).select("doc_id", "line_no", X.title_rank(F.col("line")).alias("rank_name"))
 
 
 @query()
@@ -57,6 +85,19 @@ def page_titles(spark: SparkSession, d: str) -> DataFrame:
     return X.names_with_titles(X.page_lines(pages, "page_id", F.col("text")), "page_id")
 
 
+@query()
+def page_scan(spark: SparkSession, d: str) -> DataFrame:
+    """Listings of up to 200 people of a department, read against those of them on file one rank lower or missing: ranks that agree, promotions, and names not on the roster."""
+    who = table(spark, d, "person").select("person_id", "first_name", "last_name")
+    posts = _current(spark, d).join(who, "person_id").select(F.concat_ws("-", "department_id", F.expr("person_id div 200")).alias("page_id"), "person_id", "first_name", "last_name", "rank_name").dropDuplicates(["page_id", "person_id"])
+    entry = F.concat_ws("\n", F.concat_ws(" ", "first_name", "last_name"), F.concat(F.initcap("rank_name"), F.lit(" Professor")))
+    pages = posts.groupBy("page_id").agg(F.concat_ws("\n", F.sort_array(F.collect_list(entry))).alias("text"))
+    lines = X.page_lines(pages, "page_id", F.col("text"))
+    lower = F.when((F.col("person_id") % 7 == 0) & (F.col("rank_name") == "full"), "associate").otherwise(F.col("rank_name"))
+    roster = posts.where("person_id % 11 <> 0").withColumn("rank_name", lower)
+    return X.scan_pages(lines, "page_id", roster, who)
+
+
 @query("SELECT doc_id, lower(regexp_extract(url, '^https?://([^/?#]+)', 1)) AS host FROM documents WHERE url IS NOT NULL")
 def page_hosts(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").where("url is not null").select("doc_id", F.lower(F.try_parse_url("url", F.lit("HOST"))).alias("host"))
