@@ -33,7 +33,7 @@ OFF_LADDER_PAIRS = ("in residence", "part time", "of teaching", "teaching stream
 CHAIR_MARKS = ("chair", "distinguished", "endowed", "family", "foundation", "memorial", "professorship")
 #: Words that headings are made of: one of the first in a heading opens a side section, the others may stand beside it.
 SIDE_WORDS = ("adjunct", "affiliated", "affiliate", "affiliates", "courtesy", "cross", "emeriti", "emeritus", "emerita", "former", "lecturers", "memoriam", "part", "retired", "staff", "visiting")
-HEADING_WORDS = ("administrative", "and", "appointed", "appointments", "faculty", "in", "of", "professor", "professors", "scholars", "sessional", "time")
+HEADING_WORDS = ("administrative", "and", "appointed", "appointments", "faculty", "in", "of", "professors", "scholars", "sessional", "time")
 CORE_WORDS = ("core", "current", "faculty", "full", "members", "our", "tenure", "tenured", "time", "track")
 #: Words of pages that no name holds.
 NOT_NAMES = (
