@@ -166,18 +166,6 @@ def edit_distance_le1(spark: SparkSession, d: str) -> DataFrame:
     return R.near_words(words("identity_candidates", "last_known_institution"), words("department", "university"))
 
 
-@query("""SELECT person_id, CASE WHEN count(*) FILTER (status = 'accepted') = 1 AND max(score) FILTER (status = 'accepted') >= 0.85e0
-  AND max(score) FILTER (status = 'accepted') - coalesce(max(score) FILTER (status NOT IN ('accepted', 'rejected')), 0) >= 0.15e0 THEN 'accepted'
-  WHEN count(*) = count(*) FILTER (status = 'rejected') THEN 'rejected' ELSE 'pending' END AS outcome FROM identity_candidates WHERE person_id IS NOT NULL GROUP BY person_id""")
-def discovery_decisions(spark: SparkSession, d: str) -> DataFrame:
-    s, score = F.col("status"), F.nanvl(F.col("score"), F.lit(None).cast("double"))
-    g = table(spark, d, "identity_candidates").where("person_id is not null").groupBy("person_id").agg(
-        F.count_if(s == "accepted").alias("n"), F.max(F.when(s == "accepted", score)).alias("best"), F.max(F.when(~s.isin("accepted", "rejected"), score)).alias("other"), F.bool_and(s == "rejected").alias("none")
-    )
-    clear = (F.col("n") == 1) & (F.col("best") >= 0.85) & (F.col("best") - F.coalesce("other", F.lit(0.0)) >= 0.15)
-    return g.select("person_id", F.when(clear, "accepted").when(F.col("none"), "rejected").otherwise("pending").alias("outcome"))
-
-
 @query("SELECT university, arg_min(department_id, (kind <> 'planning', ror_id IS NULL, department_id)) AS department_id FROM department GROUP BY university")
 def resolve_institution(spark: SparkSession, d: str) -> DataFrame:
     order = F.struct(F.col("kind") != "planning", F.col("ror_id").isNull(), "department_id")
