@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,32 +24,33 @@ def settle(pending: DataFrame, person: str, ordinal: str) -> DataFrame:
     """Pending records accepted one after another per person, each raising the total that later ones see.
 
     Needs name_sim, inst_match, cited_by_count, works_count, base, held (the total accepted
-    before), has_record, last_inst_ok and topic_share. The fold runs in the JVM over a person's
-    records in order; records that fail on name or institution leave before they are gathered.
+    before), has_record, last_inst_ok and topic_share; person and ordinal are bigints. Each
+    decision depends on the one before, so a person's records pass one task in order, one by
+    one: only the person's running total is kept, never a list of its records. Records that
+    fail on name or institution leave before they move.
     """
     rows = pending.where((F.coalesce("name_sim", F.lit(0.0)) >= SETTLE_NAME) & (F.coalesce("inst_match", F.lit(0.0)) >= 1.0))
-    item = F.struct(F.col(ordinal).alias("o"), F.col("cited_by_count").cast("double").alias("c"), F.coalesce("works_count", F.lit(0)).alias("w"), "last_inst_ok", "topic_share")
-    per = rows.groupBy(person).agg(
-        F.sort_array(F.collect_list(item)).alias("items"),
-        F.max("base").cast("double").alias("base"),
-        F.max(F.coalesce("held", F.lit(0))).cast("double").alias("held"),
-        F.bool_or("has_record").alias("has_record"),
-    )
-    start = F.struct(F.col("held").alias("total"), F.col("has_record").alias("has"), F.array().cast("array<bigint>").alias("taken"))
-
-    def step(acc: Column, x: Column) -> Column:
-        agrees = F.coalesce(x["last_inst_ok"], F.lit(True)) | (F.coalesce(x["topic_share"], F.lit(0.0)) >= SIBLING_TOPIC)
-        sized = F.coalesce(F.col("base") >= MIN_BASE, F.lit(False)) & x["c"].isNotNull()
-        fits = F.when(acc["has"], agrees & ((acc["total"] + x["c"]) / F.col("base") <= SIBLING_SUM_RATIO)).otherwise(x["c"] / F.col("base") <= SETTLE_RATIO)
-        take = (x["w"] <= FRAGMENT_WORKS) | (sized & fits)
-        take = F.coalesce(take, F.lit(False))
-        return F.struct(
-            F.when(take, acc["total"] + F.coalesce(x["c"], F.lit(0.0))).otherwise(acc["total"]).alias("total"),
-            (acc["has"] | (take & x["c"].isNotNull())).alias("has"),
-            F.when(take, F.concat(acc["taken"], F.array(x["o"]))).otherwise(acc["taken"]).alias("taken"),
-        )
-
-    return per.select(person, F.explode(F.aggregate("items", start, step)["taken"]).alias(ordinal))
+    rows = rows.select(
+        F.col(person).cast("long").alias("p"), F.col(ordinal).cast("long").alias("o"), F.col("cited_by_count").cast("double").alias("c"), F.coalesce("works_count", F.lit(0)).cast("long").alias("w"), F.col("base").cast("double").alias("base"),
+        F.coalesce("held", F.lit(0)).cast("double").alias("held"), F.coalesce("has_record", F.lit(False)).alias("has"), (F.coalesce("last_inst_ok", F.lit(True)) | (F.coalesce("topic_share", F.lit(0.0)) >= SIBLING_TOPIC)).alias("agrees"),
+    ).where("p is not null")
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        who, total, has = None, 0.0, False
+        for batch in batches:
+            taken: list[tuple[int, int]] = []
+            for p, o, c, w, base, held, had, agrees in zip(*(x.to_pylist() for x in batch.columns)):
+                if p != who:
+                    who, total, has = p, held, had
+                fits = base is not None and base >= MIN_BASE and c is not None and (agrees and (total + c) / base <= SIBLING_SUM_RATIO if has else c / base <= SETTLE_RATIO)
+                if w <= FRAGMENT_WORKS or fits:
+                    taken.append((p, o))
+                    total += c or 0.0
+                    has = has or c is not None
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in taken], pa.int64()) for k in (0, 1)], names=[person, ordinal])
+
+    # The sum held before and whether there is a record are the same on all rows of a person.
+    return rows.repartition("p").sortWithinPartitions("p", "o").mapInArrow(walk, f"{person} bigint, {ordinal} bigint")
 
 
 def all_flagged(rows: DataFrame, person: str, flag: str) -> DataFrame:

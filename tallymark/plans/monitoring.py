@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallymark.functions.names import norm_name
 from tallymark.functions.text import rank_name
 from tallymark.operators import changes as C
 from tallymark.operators import metrics as M
@@ -102,11 +103,11 @@ def foreign_field(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "person").select("person_id", C.first_found(F.col("interests"), _FIELDS).alias("field")).where("field is not null")
 
 
-@query("""SELECT l.person_id, arg_min(k.cited_by_count, k.candidate_id) AS namesake_total FROM latest l JOIN identity_candidates k ON k.person_id = l.person_id AND k.status = 'rejected'
-WHERE l.source = 'pop' AND l.total_citations >= 25 AND k.cited_by_count <> 0 AND abs(k.cited_by_count - l.total_citations) / l.total_citations <= 0.1e0 GROUP BY l.person_id""")
+@query("""SELECT l.person_id, arg_min(k.cited_by_count, k.candidate_id) AS namesake_total FROM latest l JOIN identity_candidates k ON k.person_id = l.person_id AND k.status IN ('accepted', 'rejected')
+WHERE l.source = 'openalex' AND l.total_citations >= 25 AND k.cited_by_count <> 0 AND abs(k.cited_by_count - l.total_citations) / l.total_citations <= 0.1e0 GROUP BY l.person_id""")
 def band_taint(spark: SparkSession, d: str) -> DataFrame:
-    pop = M.latest_readings(readings(spark, d)).where("source = 'pop' and total_citations >= 25").select("person_id", "total_citations")
-    bad = table(spark, d, "identity_candidates").where("status = 'rejected' and cited_by_count <> 0").select("person_id", "candidate_id", "cited_by_count")
+    pop = M.latest_readings(readings(spark, d)).where("source = 'openalex' and total_citations >= 25").select("person_id", "total_citations")
+    bad = table(spark, d, "identity_candidates").where("status in ('accepted', 'rejected') and cited_by_count <> 0").select("person_id", "candidate_id", "cited_by_count")
     near = pop.join(bad, "person_id").where("abs(cited_by_count - total_citations) / total_citations <= 0.1D")
     return near.groupBy("person_id").agg(F.min_by("cited_by_count", "candidate_id").alias("namesake_total"))
 
@@ -161,26 +162,25 @@ def recent_changes(spark: SparkSession, d: str) -> DataFrame:
     return C.recent_changes(appointments(spark, d), F.to_date(F.lit("2020-01-01")))
 
 
-@query("SELECT google_scholar_id AS profile, count(*) AS empty FROM person p JOIN rd r ON r.person_id = p.person_id AND r.source = 'google_scholar' WHERE google_scholar_id IS NOT NULL GROUP BY 1 HAVING count(*) = count(*) FILTER (total_citations IS NULL) AND count(*) > 1")
+@query("SELECT google_scholar_id AS profile, count(*) AS empty FROM person p JOIN rd r ON r.person_id = p.person_id AND r.source = 'google_scholar' WHERE google_scholar_id IS NOT NULL GROUP BY 1 HAVING count(*) = count(*) FILTER (works_count IS NULL) AND count(*) > 1")
 def dead_ids(spark: SparkSession, d: str) -> DataFrame:
     held = table(spark, d, "person").where("google_scholar_id is not null").select("person_id", F.col("google_scholar_id").alias("profile"))
-    return C.dead_ids(_scholar(spark, d).join(held, "person_id"), "profile", "total_citations")
+    return C.dead_ids(_scholar(spark, d).join(held, "person_id"), "profile", "works_count")
 
 
-@query("SELECT min(person_id) AS person_id, external_id AS new_id FROM identity_candidates WHERE status = 'accepted' AND external_id IS NOT NULL AND source = 'openalex' AND external_id NOT IN (SELECT openalex_author_id FROM person WHERE openalex_author_id IS NOT NULL) GROUP BY external_id")
+@query("SELECT min(person_id) AS person_id, external_id AS new_id FROM identity_candidates WHERE status = 'rejected' AND external_id IS NOT NULL AND source = 'openalex' AND external_id NOT IN (SELECT openalex_author_id FROM person WHERE openalex_author_id IS NOT NULL) GROUP BY external_id")
 def id_redirect(spark: SparkSession, d: str) -> DataFrame:
-    claims = table(spark, d, "identity_candidates").where("status = 'accepted' and external_id is not null and source = 'openalex'").select("person_id", F.col("external_id").alias("new_id"))
+    claims = table(spark, d, "identity_candidates").where("status = 'rejected' and external_id is not null and source = 'openalex'").select("person_id", F.col("external_id").alias("new_id"))
     return C.redirect(table(spark, d, "person").select("person_id", F.col("openalex_author_id").alias("held_id")), claims)
 
 
 _NORM = "trim(regexp_replace(strip_accents(lower({c})), '[^a-z]+', ' ', 'g'))"
 
 
-@query(f"SELECT {_NORM.format(c='display_name')} AS name, phd_institution, count(*) AS n, min(person_id) AS kept FROM person WHERE phd_institution IS NOT NULL GROUP BY 1, 2 HAVING count(*) > 1")
+@query(f"SELECT {_NORM.format(c='display_name')} AS name, count(*) AS n, min(person_id) AS kept FROM person GROUP BY 1 HAVING count(*) > 1")
 def duplicate_people(spark: SparkSession, d: str) -> DataFrame:
-    from tallymark.functions.names import norm_name
-
-    return table(spark, d, "person").where("phd_institution is not null").groupBy(norm_name(F.col("display_name")).alias("name"), "phd_institution").agg(F.count(F.lit(1)).alias("n"), F.min("person_id").alias("kept")).where("n > 1")
+    """Names that several people bear, to be looked at for one person entered twice."""
+    return table(spark, d, "person").groupBy(norm_name(F.col("display_name")).alias("name")).agg(F.count(F.lit(1)).alias("n"), F.min("person_id").alias("kept")).where("n > 1")
 
 
 # ------------------------------------------------------------ planning and monitoring

@@ -22,7 +22,7 @@ def query(sql: str | None = None):
     def add(f):
         QUERIES[f.__name__] = f
         if sql is not None:
-            ORACLE[f.__name__] = BASE + sql
+            ORACLE[f.__name__] = (BASE.replace("WITH rd", "WITH RECURSIVE rd", 1) if ", walk AS" in sql else BASE) + sql
         return f
 
     return add
@@ -181,9 +181,10 @@ def known_people(spark: SparkSession, d: str) -> DataFrame:
     return R.known_people(_records(spark, d), "candidate_id", "candidate_name", table(spark, d, "person"))
 
 
-@query("SELECT person_id, count(*) AS n FROM identity_candidates WHERE status = 'accepted' GROUP BY person_id HAVING count(*) > 1")
+@query("SELECT person_id, count(*) AS n FROM identity_candidates WHERE status IN ('accepted', 'rejected') GROUP BY person_id HAVING count(*) > 1")
 def multiple_accepts(spark: SparkSession, d: str) -> DataFrame:
-    return _records(spark, d).where("status = 'accepted'").groupBy("person_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    """People with several decided records."""
+    return _records(spark, d).where("status in ('accepted', 'rejected')").groupBy("person_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
 @query("""SELECT person_id, candidate_id, row_number() OVER (PARTITION BY person_id ORDER BY candidate_id) AS place FROM identity_candidates k
@@ -214,12 +215,32 @@ def audit_implausible(spark: SparkSession, d: str) -> DataFrame:
     return rows.where("ratio is not null").select("candidate_id", "ratio")
 
 
-@query()
+_SETTLE = f""", rows AS (SELECT k.person_id, k.candidate_id, CASE WHEN isnan(k.topic_share) THEN NULL ELSE k.topic_share END AS topic, k.cited_by_count AS c, coalesce(k.works_count, 0) AS w, b.base,
+  coalesce(k.last_known_institution = h.home, true) AS inst_ok, coalesce(h.total, 0) AS held, h.total IS NOT NULL AS has
+  FROM identity_candidates k LEFT JOIN {_BASE_T} USING (person_id) LEFT JOIN (SELECT person_id, sum(cited_by_count) AS total, arg_max(last_known_institution, (coalesce(works_count, 0), candidate_id)) AS home FROM identity_candidates WHERE status = 'accepted' GROUP BY person_id) h USING (person_id)
+  WHERE k.status = 'rejected' AND k.person_id IS NOT NULL AND k.name_sim >= 0.85e0 AND NOT isnan(k.name_sim)),
+seq AS (SELECT *, row_number() OVER (PARTITION BY person_id ORDER BY candidate_id) AS i FROM rows)"""
+_TAKES = """(w <= 3 OR coalesce(base >= 25 AND c IS NOT NULL AND CASE WHEN {has} THEN (inst_ok OR coalesce(topic, 0) >= 0.5e0) AND ({total} + c) / base <= 1.2e0 ELSE c / base <= 1.5e0 END, false))"""
+
+
+_FIRST = _TAKES.format(has="has", total="held")
+_LATER = "(s.w <= 3 OR coalesce(s.base >= 25 AND s.c IS NOT NULL AND CASE WHEN v.has_now THEN (s.inst_ok OR coalesce(s.topic, 0) >= 0.5e0) AND (v.total + s.c) / s.base <= 1.2e0 ELSE s.c / s.base <= 1.5e0 END, false))"
+
+
+@query(
+    _SETTLE
+    + f""", walk AS (SELECT person_id, candidate_id, i, {_FIRST} AS take, held + CASE WHEN {_FIRST} THEN coalesce(c, 0) ELSE 0 END AS total, has OR ({_FIRST} AND c IS NOT NULL) AS has_now FROM seq WHERE i = 1
+  UNION ALL SELECT person_id, candidate_id, i, take, total + CASE WHEN take THEN coalesce(c, 0) ELSE 0 END, has_now OR (take AND c IS NOT NULL) FROM (
+    SELECT s.person_id, s.candidate_id, s.i, s.c, v.total, v.has_now, {_LATER} AS take FROM walk v JOIN seq s ON s.person_id = v.person_id AND s.i = v.i + 1))
+SELECT person_id, candidate_id FROM walk WHERE take"""
+)
 def greedy_settle(spark: SparkSession, d: str) -> DataFrame:
-    """Records a person could still take, in candidate order, each raising the total that later ones see."""
-    rows = _with_base(spark, d, "status in ('accepted', 'rejected')").select(
-        "person_id", "candidate_id", F.nanvl("name_sim", F.lit(None).cast("double")).alias("name_sim"), F.lit(1.0).alias("inst_match"), "cited_by_count", "works_count", "base", F.lit(0).alias("held"), F.lit(False).alias("has_record"),
-        F.lit(None).cast("boolean").alias("last_inst_ok"), F.nanvl("topic_share", F.lit(None).cast("double")).alias("topic_share"),
+    """Rejected records of a like name that a person could still take beside the accepted ones, in candidate order, each raising the total that later ones see."""
+    order = F.struct(F.coalesce("works_count", F.lit(0)), "candidate_id")
+    held = _records(spark, d).where("status = 'accepted'").groupBy("person_id").agg(F.sum("cited_by_count").alias("held"), F.max_by("last_known_institution", order).alias("home"))
+    rows = _with_base(spark, d, "status = 'rejected'").join(held, "person_id", "left").where("name_sim >= 0.85D and not isnan(name_sim)").select(
+        "person_id", "candidate_id", F.lit(1.0).alias("name_sim"), F.lit(1.0).alias("inst_match"), "cited_by_count", "works_count", "base", F.coalesce("held", F.lit(0)).alias("held"), F.col("held").isNotNull().alias("has_record"),
+        (F.col("last_known_institution") == F.col("home")).alias("last_inst_ok"), F.nanvl("topic_share", F.lit(None).cast("double")).alias("topic_share"),
     )
     return A.settle(rows, "person_id", "candidate_id")
 
