@@ -333,6 +333,27 @@ def yearly_gapfill(spark: SparkSession, d: str) -> DataFrame:
     return V.gap_filled_years(_payloads(spark, d), "person_id")
 
 
+_ALL_YEARS = """, pay AS (SELECT delivery_row_id, source, CASE WHEN json_valid(raw_json) THEN raw_json END AS j FROM snapshot_delivery),
+cells AS (SELECT delivery_row_id, CAST(k AS BIGINT) AS y, CAST(json_extract(j, '$.cites_per_year."' || k || '"') AS BIGINT) AS n FROM (SELECT delivery_row_id, j, unnest(json_keys(j, '$.cites_per_year')) AS k FROM pay WHERE source = 'google_scholar' AND json_type(j, '$.cites_per_year') = 'OBJECT')
+  UNION ALL SELECT delivery_row_id, CAST(e ->> '$.year' AS BIGINT), coalesce(CAST(e ->> '$.cited_by_count' AS BIGINT), 0) FROM (SELECT delivery_row_id, unnest(CAST(json_extract(j, '$.counts_by_year[*]') AS JSON[])) AS e FROM pay WHERE source = 'openalex' AND json_type(j, '$.counts_by_year') = 'ARRAY'
+    AND NOT coalesce(json_type(j, '$.records') = 'ARRAY' AND json_array_length(j, '$.records') > 0 OR json_type(j, '$.records') = 'OBJECT', false)) WHERE e ->> '$.year' IS NOT NULL),
+ends AS (SELECT delivery_row_id, min(y) FILTER (n > 0) AS a, max(y) AS b FROM cells GROUP BY delivery_row_id HAVING count(*) FILTER (n > 0) > 1)
+SELECT delivery_row_id, e.y AS "year", coalesce(c.n, 0) AS n FROM (SELECT delivery_row_id, unnest(range(a, b + 1)) AS y FROM ends) e LEFT JOIN cells c USING (delivery_row_id, y)"""
+
+
+@query(_ALL_YEARS)
+def yearly_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Gap-filled years of every delivered payload: the profile's own map, or the list of a single record; summed records have none."""
+    rows = table(spark, d, "snapshot_delivery").select("delivery_row_id", "source", "raw_json").where(F.get_json_object("raw_json", "$").isNotNull())
+    part = lambda k: F.get_json_object("raw_json", k)
+    own = F.transform(F.map_entries(F.from_json(part("$.cites_per_year"), "map<string,bigint>")), lambda e: F.struct(e["key"].try_cast("bigint").alias("year"), F.coalesce(e["value"], F.lit(0)).alias("n")))
+    listed = F.transform(F.from_json(part("$.counts_by_year"), "array<struct<year: string, cited_by_count: string>>"), lambda e: F.struct(e["year"].try_cast("bigint").alias("year"), F.coalesce(e["cited_by_count"].try_cast("bigint"), F.lit(0)).alias("n")))
+    summed = F.coalesce(part("$.records").rlike(r"^\s*(?:\[\s*[^\]\s]|\{)"), F.lit(False))
+    years = F.when((F.col("source") == "google_scholar") & part("$.cites_per_year").startswith("{"), own).when((F.col("source") == "openalex") & part("$.counts_by_year").startswith("[") & ~summed, listed)
+    counts = rows.select("delivery_row_id", F.filter(years, lambda y: y["year"].isNotNull()).alias("years")).where("years is not null")
+    return V.gap_filled_years(counts, "delivery_row_id")
+
+
 @query(f"{_YEARS}, tail AS (SELECT *, row_number() OVER (PARTITION BY person_id ORDER BY \"year\" DESC) AS i FROM series QUALIFY i <= 20) SELECT person_id, count(*) AS n_points, arg_max(\"year\", (n, -\"year\")) AS peak_year, max(n) AS peak FROM tail GROUP BY person_id")
 def year_chart(spark: SparkSession, d: str) -> DataFrame:
     return V.chart_points(V.gap_filled_years(_payloads(spark, d), "person_id"), "person_id")
