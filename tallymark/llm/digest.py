@@ -62,7 +62,10 @@ def build(values: np.ndarray, compression: float) -> Digest:
 
 
 def quantile(d: Digest, q: float) -> float:
-    """Estimate at quantile q: inside the centroid that holds the rank, from its least value over its mean to its greatest."""
+    """Estimate at quantile q: inside the centroid that holds the rank, from its least value over its mean to its greatest.
+
+    A centroid of merged parts may span a gap that other parts fill; it does not reach beyond the means beside it.
+    """
     means, weights, lows, highs = d
     if not len(means):
         return float("nan")
@@ -70,7 +73,9 @@ def quantile(d: Digest, q: float) -> float:
     at = q * right[-1]
     j = min(int(np.searchsorted(right, at)), len(means) - 1)
     share = (at - (right[j] - weights[j])) / weights[j]
-    return float(np.interp(share, [0, 0.5, 1], [lows[j], min(max(means[j], lows[j]), highs[j]), highs[j]]))
+    low = max(lows[j], means[j - 1]) if j else lows[j]
+    high = min(highs[j], means[j + 1]) if j + 1 < len(means) else highs[j]
+    return float(np.interp(share, [0, 0.5, 1], [low, min(max(means[j], low), high), high]))
 
 
 def _digest_batch(keys: list[tuple], made: list[Digest], names: list[str]) -> pa.RecordBatch:

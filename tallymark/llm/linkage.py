@@ -331,8 +331,10 @@ def _near_texts(ys: DataFrame, xs: DataFrame) -> DataFrame:
         return F.array(*[F.concat_ws("|", length.cast("string"), F.lit(str(k)), F.substring(c, F.greatest(at(k) + 1 + shift, F.lit(1)), at(k + 1) - at(k))) for k in range(3)])
 
     part_y = ys.where(F.length("y") > 8).select("y", F.explode(thirds(F.col("y"), F.length("y"), F.lit(0))).alias("k"))
-    moved = F.array(*[thirds(F.col("x"), F.length("x") + d, F.lit(e)) for d in range(-2, 3) for e in range(-2, 3)])
-    part_x = xs.where(F.length("x") > 6).select("x", F.explode(F.array_distinct(F.flatten(moved))).alias("k"))
+    # Two rows of steps and one expression: a text once for each other length and each shift, which keeps the generated code small.
+    steps = F.sequence(F.lit(-2), F.lit(2))
+    moved = xs.where(F.length("x") > 6).select("x", F.explode(steps).alias("d")).select("x", "d", F.explode(steps).alias("e"))
+    part_x = moved.select("x", F.explode(thirds(F.col("x"), F.length("x") + F.col("d"), F.col("e"))).alias("k")).distinct()
     pairs = part_y.join(part_x, "k").select("y", "x")
     return pairs.unionByName(within(ys, "y", xs, "x", 5)).unionByName(within(xs, "x", ys, "y", 12)).distinct()
 
