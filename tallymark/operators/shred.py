@@ -162,10 +162,11 @@ def _lists(flat: pa.Array, offsets: np.ndarray) -> pa.Array:
 
 
 def shred(df: DataFrame, row_id: str, json_col: str, nodes: tuple[Node, ...]) -> DataFrame:
-    """One row per payload: row_id and, per leaf path, struct<v, r, d> of arrays.
+    """One row per payload: row_id, payload_no and, per leaf path, struct<v, r, d> of arrays.
 
     The row id is a bigint. A text that is null, empty or no valid JSON, and one without any
-    known field, gives no row; a text with several payloads gives one row for each.
+    known field, gives no row; a text with several payloads gives one row for each, numbered
+    from 0 in the order of the text, so their children can be told apart.
     """
     paths = [x.path for x in leaves(nodes)]
     known = frozenset(n.name for n in nodes)
@@ -173,6 +174,7 @@ def shred(df: DataFrame, row_id: str, json_col: str, nodes: tuple[Node, ...]) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids: list[int] = []
+            numbers: list[int] = []
             cols = {p: _Column() for p in paths}
             offsets: dict[str, list[int]] = {p: [0] for p in paths}
             for rid, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -182,22 +184,23 @@ def shred(df: DataFrame, row_id: str, json_col: str, nodes: tuple[Node, ...]) ->
                     value = json.loads(text)
                 except (ValueError, RecursionError):
                     continue
-                for record in payloads(value, known):
+                for number, record in enumerate(payloads(value, known)):
                     dissect(record, nodes, cols)
                     ids.append(rid)
+                    numbers.append(number)
                     for p in paths:
                         offsets[p].append(len(cols[p].values))
             if not ids:
                 continue
-            arrays: list[pa.Array] = [pa.array(ids, pa.int64())]
+            arrays: list[pa.Array] = [pa.array(ids, pa.int64()), pa.array(numbers, pa.int32())]
             for p in paths:
                 c, o = cols[p], np.array(offsets[p], np.int32)
                 parts = [_lists(pa.array(c.values, pa.string()), o), _lists(pa.array(c.reps, pa.int8()), o), _lists(pa.array(c.defs, pa.int8()), o)]
                 arrays.append(pa.StructArray.from_arrays(parts, names=["v", "r", "d"]))
-            yield pa.RecordBatch.from_arrays(arrays, names=[row_id, *paths])
+            yield pa.RecordBatch.from_arrays(arrays, names=[row_id, "payload_no", *paths])
 
     fields = ", ".join(f"`{p}` struct<v: array<string>, r: array<tinyint>, d: array<tinyint>>" for p in paths)
-    return df.where(f"`{json_col}` is not null").selectExpr(f"cast(`{row_id}` as bigint) as `{row_id}`", f"`{json_col}` as j").mapInArrow(run, f"`{row_id}` bigint, {fields}")
+    return df.where(f"`{json_col}` is not null").selectExpr(f"cast(`{row_id}` as bigint) as `{row_id}`", f"`{json_col}` as j").mapInArrow(run, f"`{row_id}` bigint, payload_no int, {fields}")
 
 
 @dataclass(frozen=True)
@@ -224,7 +227,7 @@ def positions(reps: np.ndarray, starts: np.ndarray, level: int) -> np.ndarray:
 
 
 def reconstruct(shredded: DataFrame, row_id: str, nodes: tuple[Node, ...], tables: tuple[ChildTable, ...]) -> DataFrame:
-    """Flat child rows (row_id, child_kind, outer_pos, inner_pos, child_key, child_value).
+    """Flat child rows (row_id, payload_no, child_kind, outer_pos, inner_pos, child_key, child_value).
 
     A null list member keeps its place and gives no row. outer_pos is the place in the
     outer list, -1 for an entry of an object; inner_pos the place in the inner list, -1 if
@@ -235,14 +238,14 @@ def reconstruct(shredded: DataFrame, row_id: str, nodes: tuple[Node, ...], table
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            ids, numbers = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             for t in tables:
                 leaf = by_path[t.key]
-                col = batch.column(1 + used.index(t.key))
+                col = batch.column(2 + used.index(t.key))
                 lists, r, d = (col.field(i) for i in range(3))
                 sizes = np.asarray(lists.value_lengths().to_numpy(zero_copy_only=False), np.int64)
                 reps, defs, values = r.flatten().to_numpy(zero_copy_only=False), d.flatten().to_numpy(zero_copy_only=False), lists.flatten()
-                owner = np.repeat(ids, sizes)
+                owner, number = np.repeat(ids, sizes), np.repeat(numbers, sizes)
                 first = np.cumsum(sizes) - sizes
                 starts = np.zeros(len(reps), bool)
                 starts[first[sizes > 0]] = True
@@ -253,11 +256,11 @@ def reconstruct(shredded: DataFrame, row_id: str, nodes: tuple[Node, ...], table
                 outer = none if "{}" in t.key else positions(reps, starts, 1)[present]
                 inner = positions(reps, starts, 2)[present] if leaf.max_rep > 1 else none
                 taken = pa.array(present)
-                other = batch.column(1 + used.index(t.value)).field(0).flatten().take(taken) if t.value else pa.nulls(len(present), pa.string())
+                other = batch.column(2 + used.index(t.value)).field(0).flatten().take(taken) if t.value else pa.nulls(len(present), pa.string())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(owner[present], pa.int64()), pa.array([t.kind] * len(present)), pa.array(outer), pa.array(inner), values.take(taken), other],
-                    names=[row_id, "child_kind", "outer_pos", "inner_pos", "child_key", "child_value"],
+                    [pa.array(owner[present], pa.int64()), pa.array(number[present], pa.int32()), pa.array([t.kind] * len(present)), pa.array(outer), pa.array(inner), values.take(taken), other],
+                    names=[row_id, "payload_no", "child_kind", "outer_pos", "inner_pos", "child_key", "child_value"],
                 )
 
-    return shredded.select(row_id, *[f"`{p}`" for p in used]).mapInArrow(run, f"`{row_id}` bigint, child_kind string, outer_pos bigint, inner_pos bigint, child_key string, child_value string")
+    return shredded.select(row_id, "payload_no", *[f"`{p}`" for p in used]).mapInArrow(run, f"`{row_id}` bigint, payload_no int, child_kind string, outer_pos bigint, inner_pos bigint, child_key string, child_value string")
 

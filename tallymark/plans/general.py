@@ -37,12 +37,12 @@ def payload_children(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return payload_children(spark, sf_dir).drop("child_value")
+    return payload_children(spark, sf_dir).drop("child_value", "payload_no")
 
 
 def p3_child_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Children with the figure or name that stands beside their key."""
-    return payload_children(spark, sf_dir).where(F.col("child_value").isNotNull())
+    return payload_children(spark, sf_dir).where(F.col("child_value").isNotNull()).drop("payload_no")
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:

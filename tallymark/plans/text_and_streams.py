@@ -50,8 +50,8 @@ _PART = "regexp_extract(line, '^([^,:;|]+?)(?: -|[,:;|])', 1)"
 _NAMED = f"""trim(regexp_replace(regexp_replace(trim(regexp_replace({_PART}, '\\([^)]*\\)', ' ', 'g')), '^(?i:dr|prof|professor|mrs?|ms|mx)\\.?\\s+', ''), '(?:\\s+(?:\\p{{Lu}}{{2,6}}|Ph\\.?\\s?D\\.?|[JS]r\\.?))+\\s*$', ''))"""
 
 
-@query(f"""{_LINES}, c AS (SELECT doc_id, line_no, {_NAMED} AS name FROM lines), w AS (SELECT *, string_split_regex(name, '\s+') AS ws, string_split_regex(strip_accents(lower(replace(replace(replace(replace(name, 'Ø', 'O'), 'ø', 'o'), 'Ł', 'L'), 'ł', 'l'))), '[^a-z]+') AS bare FROM c)
-SELECT doc_id, line_no, name FROM w WHERE len(ws) BETWEEN 2 AND 4 AND len(list_filter(ws, lambda x: NOT regexp_matches(x, '^\p{{Lu}}[\p{{L}}.’''-]*$'))) = 0 AND regexp_matches(ws[-1], '\p{{L}}{{2}}')
+@query(f"""{_LINES}, c AS (SELECT doc_id, line_no, {_NAMED} AS name FROM lines), w AS (SELECT *, string_split_regex(name, '\\s+') AS ws, string_split_regex(strip_accents(lower(replace(replace(replace(replace(name, 'Ø', 'O'), 'ø', 'o'), 'Ł', 'L'), 'ł', 'l'))), '[^a-z]+') AS bare FROM c)
+SELECT doc_id, line_no, name FROM w WHERE len(ws) BETWEEN 2 AND 4 AND len(list_filter(ws, lambda x: NOT regexp_matches(x, '^\\p{{Lu}}[\\p{{L}}.’''-]*$'))) = 0 AND regexp_matches(ws[-1], '\\p{{L}}{{2}}')
   AND name <> upper(name) AND NOT list_has_any(bare, [{_Q(X.NOT_NAMES)}])""")
 def page_name_lines(spark: SparkSession, d: str) -> DataFrame:
     """Lines of the documents that begin with a name and a mark."""
@@ -59,12 +59,12 @@ def page_name_lines(spark: SparkSession, d: str) -> DataFrame:
     return _lines(spark, d).select("doc_id", "line_no", name.alias("name")).where("name is not null")
 
 
-@query(f"""{_LINES}, w AS (SELECT doc_id, line_no, line, list_transform(list_filter(string_split_regex(lower(line), '[^\p{{L}}]+'), lambda x: x <> ''), lambda x: CASE x WHEN 'prof' THEN 'professor' WHEN 'assoc' THEN 'associate' WHEN 'asst' THEN 'assistant' WHEN 'assist' THEN 'assistant' ELSE x END) AS ws FROM lines),
+@query(f"""{_LINES}, w AS (SELECT doc_id, line_no, line, list_transform(list_filter(string_split_regex(lower(line), '[^\\p{{L}}]+'), lambda x: x <> ''), lambda x: CASE x WHEN 'prof' THEN 'professor' WHEN 'assoc' THEN 'associate' WHEN 'asst' THEN 'assistant' WHEN 'assist' THEN 'assistant' ELSE x END) AS ws FROM lines),
 t AS (SELECT *, coalesce(list_position(ws, 'professor'), 0) AS p, list_filter(ws, lambda x: x IN ({_Q(X.TITLE_WORDS)}))[1] AS opens FROM w WHERE list_has_any(ws, [{_Q(X.TITLE_WORDS)}])),
 b AS (SELECT *, CASE WHEN p > 1 THEN ws[p - 1] END AS before, CASE WHEN p > 1 THEN ws[1:p - 1] ELSE [] END AS ahead, ' ' || array_to_string(ws, ' ') || ' ' AS txt FROM t)
 SELECT doc_id, line_no, CASE WHEN p = 0 OR opens <> 'professor' OR list_has_any(ws, [{_Q(X.OFF_LADDER)}]) OR coalesce(before IN ('research', 'teaching'), false) OR regexp_matches(txt, ' (in residence|part time|of teaching|teaching stream|research stream) ') THEN NULL
   WHEN before IN ('assistant', 'associate', 'full') THEN before
-  WHEN list_has_any(ahead, [{_Q(X.CHAIR_MARKS)}]) OR regexp_matches(line, '^(?:.*\s)?\p{{Lu}}[\p{{L}}\p{{N}}.’''-]*\s+(?i:professor|prof\b)') THEN NULL ELSE 'full' END AS rank_name FROM b""")
+  WHEN list_has_any(ahead, [{_Q(X.CHAIR_MARKS)}]) OR regexp_matches(line, '^(?:.*\\s)?\\p{{Lu}}[\\p{{L}}\\p{{N}}.’''-]*\\s+(?i:professor|prof\\b)') THEN NULL ELSE 'full' END AS rank_name FROM b""")
 def page_title_lines(spark: SparkSession, d: str) -> DataFrame:
     """Lines of the documents with a title and the rank that it tells."""
     return _lines(spark, d).where(X.is_title(F.col("line"))).select("doc_id", "line_no", X.title_rank(F.col("line")).alias("rank_name"))
