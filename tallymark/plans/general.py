@@ -151,3 +151,11 @@ SELECT person_id, d AS department_id, r AS rank_name, strftime(f, '%Y-%m-%d') AS
     "p6_found": _diff_sql({"total_citations": _NUM.format(c="total_citations")}, False),
     "p6_fields": _diff_sql({c: _NUM.format(c=f"CAST({c} AS VARCHAR)") for c in ("total_citations", "h_index", "works_count")}, True),
 }
+# The same entries with what stands beside their key.
+ORACLE["p3_child_values"] = (
+    ORACLE["p3_found"].partition("lines AS (")[0].rstrip().removesuffix(",")
+    + """, valued AS (SELECT delivery_row_id, kind AS child_kind, pos AS outer_pos, CAST(-1 AS BIGINT) AS inner_pos, CASE kind WHEN 'year' THEN e ->> '$.year' ELSE e ->> '$.id' END AS child_key,
+  CASE kind WHEN 'year' THEN coalesce(e ->> '$.n', e ->> '$.cited_by_count') WHEN 'institution' THEN e ->> '$.display_name' WHEN 'record' THEN e ->> '$.cited_by_count' END AS child_value FROM good WHERE kind IN ('year', 'institution', 'record')
+  UNION ALL SELECT delivery_row_id, 'year', -1, -1, k, json_extract_string(v, '$."' || k || '"') FROM (SELECT delivery_row_id, v, unnest(json_keys(v)) AS k FROM fields WHERE kind = 'year' AND json_type(v) = 'OBJECT'))
+SELECT * FROM valued WHERE child_value IS NOT NULL"""
+)
