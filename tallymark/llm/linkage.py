@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymark.functions.names import plain
-from tallymark.session import materialize, small_side
+from tallymark.session import materialize, shuffled, small_side
 
 #: Pairs of one pair of written names beyond which its records are compared in blocks, which give counted level patterns instead of rows of pairs. Results do not depend on it.
 HOT_PAIRS = 50_000
@@ -323,8 +323,8 @@ def _near_texts(ys: DataFrame, xs: DataFrame) -> DataFrame:
         pieces = outer.where(F.length(b) > 5).select(b, F.explode(grams(F.col(b))).alias("g"))
         often = pieces.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
         own = inner.where(F.length(a) > least).select(a, F.explode(grams(F.col(a))).alias("g"))
-        rarest = own.join(often, "g", "left").groupBy(a).agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "g")).alias("r")).where("r.n > 0").select(a, F.col("r.g").alias("g"))
-        return rarest.join(pieces, "g").select("y", "x")
+        rarest = own.join(shuffled(often), "g", "left").groupBy(a).agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "g")).alias("r")).where("r.n > 0").select(a, F.col("r.g").alias("g"))
+        return rarest.join(shuffled(pieces), "g").select("y", "x")
 
     def thirds(c, length, shift):
         at = lambda k: F.floor(length * k / 3).cast("int")
@@ -335,7 +335,7 @@ def _near_texts(ys: DataFrame, xs: DataFrame) -> DataFrame:
     steps = F.sequence(F.lit(-2), F.lit(2))
     moved = xs.where(F.length("x") > 6).select("x", F.explode(steps).alias("d")).select("x", "d", F.explode(steps).alias("e"))
     part_x = moved.select("x", F.explode(thirds(F.col("x"), F.length("x") + F.col("d"), F.col("e"))).alias("k")).distinct()
-    pairs = part_y.join(part_x, "k").select("y", "x")
+    pairs = part_y.join(shuffled(part_x), "k").select("y", "x")
     return pairs.unionByName(within(ys, "y", xs, "x", 5)).unionByName(within(xs, "x", ys, "y", 12)).distinct()
 
 
@@ -349,23 +349,23 @@ def _hot_patterns(people: DataFrame, found: DataFrame, groups: DataFrame) -> Dat
     p_groups = people.groupBy("gp").agg(F.first("forms").alias("pf"), F.count(F.lit(1)).alias("n_p"))
     c_groups = found.groupBy("gc").agg(F.first("forms").alias("cf"), F.count(F.lit(1)).alias("n_c"))
     levels = F.array_max(F.flatten(F.transform("pf", lambda a: F.transform(F.col("cf"), lambda b: name_level(a, b)))))
-    named = materialize(groups.join(p_groups, "gp").join(c_groups, "gc").select("gp", "gc", levels.alias("name_level"), "n_p", "n_c"), "linkage-hot-names")
+    named = materialize(groups.join(shuffled(p_groups), "gp").join(shuffled(c_groups), "gc").select("gp", "gc", levels.alias("name_level"), "n_p", "n_c"), "linkage-hot-names")
     blocks = small_side(named.groupBy("gc").agg(F.ceil(F.sum("n_p") / PEOPLE_BLOCK).alias("bp"), F.ceil(F.first("n_c") / FOUND_BLOCK).alias("bc")))
-    people = people.join(small_side(named.select("gp").distinct()), "gp", "left_semi")
-    found = found.join(blocks, "gc")
+    people = shuffled(people).join(small_side(named.select("gp").distinct()), "gp", "left_semi")
+    found = shuffled(found).join(blocks, "gc")
     xs = materialize(people.select(F.explode(F.concat("insts", "doctorate")).alias("x")).distinct(), "linkage-homes")
     ys = materialize(found.select(F.explode("insts").alias("y")).distinct(), "linkage-texts")
     alike, inside = alike_texts(F.col("x"), F.col("y")), inside_texts(F.col("x"), F.col("y"))
     code = lambda c: F.xxhash64(c)
     met = _near_texts(ys, xs).where(alike | inside).groupBy("y").agg(F.collect_set(F.when(alike, code("x"))).alias("alike"), F.collect_set(F.when(inside, code("x"))).alias("inside"))
-    texts = found.select("insts").distinct().select("insts", F.explode("insts").alias("y")).join(met, "y").groupBy("insts")
+    texts = found.select("insts").distinct().select("insts", F.explode("insts").alias("y")).join(shuffled(met), "y").groupBy("insts")
     texts = texts.agg(F.flatten(F.collect_list("alike")).alias("alike"), F.flatten(F.collect_list("inside")).alias("inside"))
     none = lambda c: F.coalesce(F.col(c), F.array().cast("array<bigint>")).alias(c)
     codes = lambda c: F.transform(c, code).alias(c)
-    left = people.join(small_side(named.select("gp", "gc", "name_level")), "gp").join(blocks, "gc").select(
+    left = shuffled(shuffled(people).join(small_side(named.select("gp", "gc", "name_level")), "gp")).join(blocks, "gc").select(
         "gc", F.pmod(F.xxhash64("person_id"), F.col("bp")).alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("bc") - 1)).alias("j"), "person_id", "name_level", codes("insts"), codes("doctorate"), "counts", "indexes"
     )
-    right = found.join(texts, "insts", "left").select(
+    right = found.join(shuffled(texts), "insts", "left").select(
         "gc", F.explode(F.sequence(F.lit(0).cast("long"), F.col("bp") - 1)).alias("i"), F.pmod(F.xxhash64("candidate_id"), F.col("bc")).alias("j"),
         "candidate_id", (F.size("insts") == 0).alias("bare"), F.xxhash64("insts").alias("evidence"), none("alike"), none("inside"), "count", "h_index", report_level(F.col("reported")).alias("report_level"),
     )
@@ -397,19 +397,20 @@ def compared_pairs(people: DataFrame, found: DataFrame) -> DataFrame:
     names = lambda df, n: df.groupBy(n).agg(F.first("x").alias("x"), F.count(F.lit(1)).alias(f"n_{n}"))
     left = names(of_p, "p").select("p", "n_p", F.explode(blocking_keys(F.array("x"), True)).alias("k"))
     right = names(of_c, "c").select("c", "n_c", F.explode(blocking_keys(F.array("x"), False)).alias("k"))
-    alike = materialize(left.join(right, "k").select("p", "c", "n_p", "n_c").distinct(), "linkage-names")
+    alike = materialize(left.join(shuffled(right), "k").select("p", "c", "n_p", "n_c").distinct(), "linkage-names")
     few = F.col("n_p") * F.col("n_c") <= HOT_PAIRS
     hot = alike.where(~few).select("p", "c")
     some_hot = not hot.isEmpty()
     groups = ["gp", "gc"] if some_hot else []
-    pairs = of_p.select("person_id", "p", "gp").join(alike.where(few).select("p", "c"), "p").join(of_c.select("candidate_id", "c", "gc"), "c").select("person_id", "candidate_id", *groups)
+    pairs = of_p.select("person_id", "p", "gp").join(shuffled(alike.where(few).select("p", "c")), "p").join(shuffled(of_c.select("candidate_id", "c", "gc")), "c").select("person_id", "candidate_id", *groups)
     if some_hot:
-        hot = of_p.select("gp", "p").distinct().join(small_side(hot), "p").join(of_c.select("gc", "c").distinct(), "c").select("gp", "gc").distinct()
+        hot = shuffled(of_p.select("gp", "p").distinct()).join(small_side(hot), "p").join(shuffled(of_c.select("gc", "c").distinct()), "c").select("gp", "gc").distinct()
         hot = materialize(hot, "linkage-hot")
         # A pair that also meets through a rarer name counts in its block alone.
-        pairs = pairs.join(small_side(hot), ["gp", "gc"], "left_anti").select("person_id", "candidate_id")
+        pairs = shuffled(pairs).join(small_side(hot), ["gp", "gc"], "left_anti").select("person_id", "candidate_id")
     pairs = pairs.distinct()
-    both = pairs.join(people.drop("gp").withColumnsRenamed({"forms": "pf", "insts": "pi"}), "person_id").join(found.drop("gc").withColumnsRenamed({"forms": "cf", "insts": "ci"}), "candidate_id")
+    both = pairs.join(shuffled(people.drop("gp").withColumnsRenamed({"forms": "pf", "insts": "pi"})), "person_id")
+    both = both.join(shuffled(found.drop("gc").withColumnsRenamed({"forms": "cf", "insts": "ci"})), "candidate_id")
     levels = F.array_max(F.flatten(F.transform("pf", lambda a: F.transform(F.col("cf"), lambda b: name_level(a, b)))))
     ratios = F.when(F.col("count").isNotNull(), F.transform("counts", lambda x: (F.col("count") + 1.0) / (x + 1.0))).otherwise(
         F.when(F.col("h_index").isNotNull(), F.transform("indexes", lambda x: (F.col("h_index") + 0.5) / (x + 0.5))).otherwise(F.array().cast("array<double>"))
@@ -451,6 +452,6 @@ def link(people: DataFrame, found: DataFrame, threshold: float = 0.5) -> DataFra
     scored = pairs.withColumn("odds", odds)
     total = scored.groupBy("candidate_id").agg(F.sum(F.col("n") * F.col("odds")).alias("all_odds"))
     # No pair reaches the threshold whose odds do not: a bound that loses nothing.
-    best = scored.where((F.col("n") == 1) & (F.col("odds") >= 0.999 * threshold / (1 - threshold + 1e-12))).join(total, "candidate_id").withColumn("confidence", F.col("odds") / (1 + F.col("all_odds")))
+    best = scored.where((F.col("n") == 1) & (F.col("odds") >= 0.999 * threshold / (1 - threshold + 1e-12))).join(shuffled(total), "candidate_id").withColumn("confidence", F.col("odds") / (1 + F.col("all_odds")))
     # At most one person of a candidate gets half of its odds.
     return best.where((F.col("confidence") >= threshold) & (F.col("confidence") > 0.5 - 1e-12)).select("person_id", "candidate_id", *LEVELS, "confidence")

@@ -13,7 +13,7 @@ from tallymark.llm.mixing import Target, mix, shares
 from tallymark.llm.packing import pack
 from tallymark.llm.survivor import Bundle, Dependency, survivors
 from tallymark.llm.tokens import with_token_counts
-from tallymark.session import materialize, small_side, table
+from tallymark.session import materialize, shuffled, small_side, table
 
 # ---------------------------------------------------------------- problem 1
 FIGURES = ("total_citations", "h_index", "works_count")
@@ -148,7 +148,7 @@ def _people(spark: SparkSession, sf_dir: str) -> DataFrame:
     forms = person.select("person_id", F.explode(names).alias("name")).unionByName(table(spark, sf_dir, "person_alias").select("person_id", F.col("alias").alias("name")))
     forms = forms.select("person_id", F.explode(name_forms(F.col("name"))).alias("form")).groupBy("person_id").agg(F.collect_set("form").alias("forms"))
     schools = table(spark, sf_dir, "department").select("department_id", F.explode(institution_parts(F.col("university"))).alias("school"))
-    insts = table(spark, sf_dir, "affiliation").select("person_id", "department_id").distinct().join(F.broadcast(schools), "department_id").groupBy("person_id").agg(F.collect_set("school").alias("insts"))
+    insts = shuffled(table(spark, sf_dir, "affiliation").select("person_id", "department_id").distinct()).join(small_side(schools), "department_id").groupBy("person_id").agg(F.collect_set("school").alias("insts"))
     figures = table(spark, sf_dir, "metric_snapshot").select(
         "person_id", source_name(F.col("source")).alias("source_name"), usable(F.col("total_citations")).alias("total"), usable(F.col("h_index")).alias("h")
     )
@@ -158,9 +158,9 @@ def _people(spark: SparkSession, sf_dir: str) -> DataFrame:
     none = lambda c, kind: F.coalesce(F.col(c), F.array().cast(kind)).alias(c)
     return (
         person.select("person_id", F.coalesce(institution_parts(F.col("phd_institution")), F.array().cast("array<string>")).alias("doctorate"))
-        .join(forms, "person_id")
-        .join(insts, "person_id", "left")
-        .join(figures, "person_id", "left")
+        .join(shuffled(forms), "person_id")
+        .join(shuffled(insts), "person_id", "left")
+        .join(shuffled(figures), "person_id", "left")
         .select("person_id", "forms", none("insts", "array<string>"), "doctorate", none("counts", "array<bigint>"), none("indexes", "array<bigint>"))
     )
 

@@ -71,6 +71,17 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df`` with the hint that its join goes by shuffle and merge.
+
+    For sides that grow with the data. The planner takes a written table for as large as its
+    compressed files and an exploded one for as large as it was before, so it would send tables
+    through the driver that are many times its limit of a broadcast. A counted side on the other
+    hand of the join (``small_side``) still broadcasts.
+    """
+    return df.hint("merge")
+
+
 #: Plan nodes whose work should not be done once to count a table and once more to join it.
 _WORK = re.compile(r"\b(?:Join|Aggregate|Window|Generate|Distinct|Deduplicate|RepartitionByExpression|MapInArrow|MapInPandas|FlatMapGroups\w*|ArrowEvalPython|Sort)\b")
 

@@ -3,6 +3,8 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tallymark.llm import linkage as L
+from tallymark.llm import queries as Q
+from tallymark.session import shuffled, small_side
 
 PEOPLE = "person_id bigint, name string, insts array<string>, doctorate array<string>, counts array<bigint>, indexes array<bigint>"
 FOUND = "candidate_id bigint, name string, insts array<string>, count bigint, h_index bigint, reported double"
@@ -153,3 +155,33 @@ def test_hot_names_keep_every_pair(spark, monkeypatch):
     assert plain and hot == plain
     plain, hot = both_ways(monkeypatch, lambda: patterns(L.compared_pairs(p, f).collect()))
     assert sum(n for k, (n, _) in hot.items() if k[0] < 1000) == len(people) * len(found) and hot == plain
+
+
+def plans_of(monkeypatch, module, written):
+    """The plans of the tables that ``module`` writes go to ``written``."""
+    keep = module.materialize
+    monkeypatch.setattr(module, "materialize", lambda df, label: (written.append((label, df._jdf.queryExecution().executedPlan().toString())), keep(df, label))[1])
+
+
+def test_nothing_that_grows_is_broadcast(spark, sf, monkeypatch):
+    # Small tables look small enough to the planner everywhere; only sides that were counted may be broadcast, and here none is.
+    written = []
+    for module in (L, Q):
+        plans_of(monkeypatch, module, written)
+        monkeypatch.setattr(module, "small_side", lambda df: df)
+    Q.p7_found(spark, sf).collect()
+    people = [([f"university of place {chr(97 + i)}x"], ["college of elms"], [100 * i]) for i in range(20)]
+    p, f = hot_tables(spark, people, [([f"universitty of place {chr(97 + i)}x"], 100 * i, 5) for i in range(20)], ["Oakes"])
+    monkeypatch.setattr(L, "HOT_PAIRS", 100)
+    best = L.link(p, f)
+    best.collect()
+    written.append(("best", best._jdf.queryExecution().executedPlan().toString()))
+    labels = {label for label, _ in written}
+    assert {"linkage-people", "linkage-found", "linkage-names", "linkage-hot", "linkage-hot-names", "linkage-pairs"} <= labels
+    assert [label for label, plan in written if "Join" in plan] and not [label for label, plan in written if "Broadcast" in plan]
+
+
+def test_a_counted_side_is_broadcast_against_a_shuffled_one(spark):
+    a, b = spark.range(50).withColumn("x", F.lit(1)), spark.range(30)
+    plan = lambda most: shuffled(a).join(small_side(b, most), "id")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan(30) and "SortMergeJoin" in plan(29)
